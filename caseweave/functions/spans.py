@@ -23,13 +23,20 @@ def unicode_pattern(pattern: str) -> str:
     return "(?U)" + pattern
 
 
+def once(value: Column) -> Column:
+    """The same value, computed once per row.
+
+    The optimizer copies an expression into every filter and column built on it. That is right for
+    cheap ones; a column of spans is not. A term it may not copy (a row counter) keeps it in place.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def _walk(gaps: Column, hits: Column, kind: Column | str) -> Column:
     """Turn the pieces between hits plus the hits themselves into offset spans."""
     label = F.lit(kind) if isinstance(kind, str) else kind
     pairs = F.zip_with(
-        F.slice(gaps, 1, F.size(hits)),
-        hits,
-        lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit")),
+        gaps, hits, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit"))
     )
 
     def step(acc: Column, pair: Column) -> Column:
@@ -38,7 +45,12 @@ def _walk(gaps: Column, hits: Column, kind: Column | str) -> Column:
         span = F.struct(
             start.alias("start"), end.alias("end"), pair["hit"].alias("text"), label.alias("type")
         )
-        return F.struct(end.alias("pos"), F.array_append(acc["out"], span).alias("out"))
+        # the last piece has no hit after it
+        more = pair["hit"].isNotNull()
+        return F.struct(
+            F.when(more, end).otherwise(start).alias("pos"),
+            F.when(more, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"),
+        )
 
     seed = F.struct(F.lit(0).alias("pos"), empty(SPAN).alias("out"))
     return F.aggregate(pairs, seed, step, lambda acc: acc["out"])
@@ -55,11 +67,31 @@ def pattern_spans(text: Column, pattern: str, kind: str, guard: Column | None =
     return F.when(usable, found).otherwise(empty(SPAN))
 
 
-def needle_spans(text: Column, needle: Column, kind: Column | str) -> Column:
-    """Every case-insensitive, non-overlapping occurrence of a literal needle."""
-    rx = F.concat(F.lit("(?iu)"), F.lit("\\Q"), F.replace(needle, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-    found = _walk(F.split(text, rx, -1), F.regexp_extract_all(text, rx, F.lit(0)), kind)
-    return F.when(F.char_length(needle) > 0, found).otherwise(empty(SPAN))
+def folded(text: Column) -> Column:
+    """Lower case with unchanged length: the one letter that would grow is mapped first."""
+    return F.lower(F.translate(text, "\u0130", "I"))
+
+
+def needle_spans(low: Column, needle: Column, kind: Column | str) -> Column:
+    """Every case-insensitive, non-overlapping occurrence of a literal needle in a folded text."""
+    label = F.lit(kind) if isinstance(kind, str) else kind
+    quoted = F.replace(folded(needle), F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    gaps = F.split(low, F.concat(F.lit("\\Q"), quoted, F.lit("\\E")), -1)
+    width = F.char_length(needle)
+
+    def step(acc: Column, gap: Column) -> Column:
+        start = acc["pos"] + F.char_length(gap)
+        span = F.struct(
+            start.alias("start"), (start + width).alias("end"), needle.alias("text"), label.alias("type")
+        )
+        return F.struct(
+            (start + width).alias("pos"), F.array_append(acc["out"], span).alias("out")
+        )
+
+    seed = F.struct(F.lit(0).alias("pos"), empty(SPAN).alias("out"))
+    # the piece after the last hit adds one span too many
+    found = F.aggregate(gaps, seed, step, lambda acc: F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1))
+    return F.when(width > 0, found).otherwise(empty(SPAN))
 
 
 def contact_spans(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import vocab
 from .spans import pattern_spans
@@ -151,7 +152,7 @@ def extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(file_name(path), r"^.+?(\.[^.]+)$", 1))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(values: pd.Series) -> pd.Series:
     import unicodedata
 

@@ -54,7 +54,8 @@ def build_tags(docs: DataFrame, subjects: DataFrame, model_entities: DataFrame |
     """Entity array per document from the model layer and the deterministic layer.
 
     docs: case_id, ref, text. subjects: output of subject_identifiers. model_entities:
-    case_id, ref, found array<struct<text,type,classification>>. Every occurrence of a model
+    case_id, ref, found array<struct<text,type,classification>>; where the documents carry
+    `found` themselves no join, and no shuffle of the texts, is needed. Every occurrence of a model
     entity is located in the text; one (start, end, text) is kept once, first layer first.
     Contact details that are not the subject's own default to third_party / redact.
     """
@@ -65,7 +66,9 @@ def build_tags(docs: DataFrame, subjects: DataFrame, model_entities: DataFrame |
             "protected": F.coalesce("protected", spans.empty("string")),
         }
     )
-    if model_entities is None:
+    if "found" in docs.columns:
+        rows = rows.withColumn("found", spans.once(F.coalesce("found", none)))
+    elif model_entities is None:
         rows = rows.withColumn("found", none)
     else:
         rows = rows.join(model_entities.select("case_id", "ref", "found"), ["case_id", "ref"], "left")
@@ -86,7 +89,7 @@ def build_tags(docs: DataFrame, subjects: DataFrame, model_entities: DataFrame |
     def from_model(entity: Column) -> Column:
         value = tx.strip(entity["text"])
         label = classify(value, entity["classification"], ids, shield)
-        hits = spans.needle_spans(text, value, "model")
+        hits = spans.needle_spans(F.col("low"), value, "model")
         return F.transform(
             F.when(F.char_length(value) >= 2, hits).otherwise(spans.empty(spans.SPAN)),
             lambda s: shape(s, value, F.concat(F.lit("llm_"), F.coalesce(entity["type"], F.lit("other"))), "model", label),
@@ -102,13 +105,15 @@ def build_tags(docs: DataFrame, subjects: DataFrame, model_entities: DataFrame |
         )
         return shape(span, span["text"], span["type"], "regex", fixed)
 
-    rows = rows.withColumn("contact", spans.contact_spans(text))
+    rows = rows.withColumns(
+        {"contact": spans.once(spans.contact_spans(text)), "low": spans.once(spans.folded(text))}
+    )
     layered = F.concat(
         F.flatten(F.transform("found", from_model)), F.transform("contact", from_pattern)
     )
-    rows = rows.withColumn("all_", layered).withColumn("keys_", F.transform("all_", _key))
+    rows = rows.withColumn("all_", spans.once(layered)).withColumn("keys_", spans.once(F.transform("all_", _key)))
     unique = F.filter("all_", lambda e, i: F.array_position("keys_", _key(e)) == i + 1)
-    return with_counts(rows.select("case_id", "ref", unique.alias("entities")))
+    return with_counts(rows.select("case_id", "ref", spans.once(unique).alias("entities")))
 
 
 def _key(entity: Column) -> Column:
@@ -142,7 +147,7 @@ def contact_rows(docs: DataFrame) -> DataFrame:
 
 def contact_counts(docs: DataFrame) -> DataFrame:
     """Per case: documents, documents with hits, entities by type."""
-    rows = docs.select("case_id", spans.contact_spans(F.col("text")).alias("s"))
+    rows = docs.select("case_id", spans.once(spans.contact_spans(F.col("text"))).alias("s"))
     of = lambda k: F.size(F.filter("s", lambda x: x["type"] == k))
     return rows.groupBy("case_id").agg(
         F.count(F.lit(1)).alias("documents"),
