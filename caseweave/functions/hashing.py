@@ -18,10 +18,10 @@ def params_digest(*parts: Column) -> Column:
 
 
 def pairs_digest(pairs: Column) -> Column:
-    """Digest of an array of (label, digest) structs, whatever order they come in."""
+    """Digest of an array of struct(label, digest), whatever order they come in."""
     lines = F.transform(
         F.array_sort(pairs),
-        lambda p: F.concat(p[0], F.lit(UNIT), p[1], F.lit(RECORD)),
+        lambda p: F.concat(p["label"], F.lit(UNIT), p["digest"], F.lit(RECORD)),
     )
     return digest(F.array_join(lines, ""))
 

@@ -36,7 +36,7 @@ def set_hash(df: DataFrame, keys: list[str], label: str, digest: str, flat_limit
     for length in (3, 0):
         deeper = F.max(F.char_length("path")) > length
         nodes = nodes.groupBy(*keys, F.substring("path", 1, length).alias("up")).agg(
-            F.when(deeper, hashing.pairs_digest(F.collect_list(F.struct("path", "digest"))))
+            F.when(deeper, hashing.pairs_digest(F.collect_list(F.struct(F.col("path").alias("label"), "digest"))))
             .otherwise(F.max("digest"))
             .alias("digest"),
             F.max("n_members").alias("n_members"),
