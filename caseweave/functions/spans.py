@@ -27,9 +27,14 @@ def once(value: Column) -> Column:
     """The same value, computed once per row.
 
     The optimizer copies an expression into every filter and column built on it. That is right for
-    cheap ones; a column of spans is not. A term it may not copy (a row counter) keeps it in place.
+    cheap ones; a column of spans is not. A term it must not copy (a random number) keeps it in place.
     """
-    return F.when(F.monotonically_increasing_id() >= 0, value)
+    return F.when(F.abs(F.rand(0)) >= 0, value)
+
+
+def let(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _walk(gaps: Column, hits: Column, kind: Column | str) -> Column:

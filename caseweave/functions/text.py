@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from . import vocab
-from .spans import pattern_spans
+from .spans import let, pattern_spans
 
 
 def word_count(text: Column) -> Column:
@@ -77,34 +77,40 @@ def _separators() -> str:
 def thread_cut(text: Column, cap: int, head_ratio: float = 0.75) -> Column:
     """Keep the first and the last message of a mail thread; else cut head and tail."""
     size = F.char_length(text)
-    found = pattern_spans(text, _separators(), "separator", size > cap)
-    starts = F.filter(F.transform(found, lambda s: s["start"]), lambda s: s > 0)
-    first_end = F.try_element_at(starts, F.lit(1))
-    blank_lead = strip(F.substring(text, F.lit(1), first_end)) == ""
-    starts = F.when(blank_lead, F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0)))).otherwise(starts)
-    is_thread = (F.size(found) >= 2) | (
-        (F.size(found) == 1) & F.rlike(text, F.lit("(?imud)" + vocab.SUBJECT_HEADER))
-    )
-    end = F.try_element_at(starts, F.lit(1))
-    begin = F.try_element_at(starts, F.lit(-1))
+    found = F.transform(pattern_spans(text, _separators(), "separator", size > cap), lambda s: s["start"])
+    has_subject = F.rlike(text, F.lit("(?imud)" + vocab.SUBJECT_HEADER))
+
+    def boundaries(found: Column) -> Column:
+        """Where messages after the first begin; a blank lead belongs to the message after it."""
+        inner = F.filter(found, lambda s: s > 0)
+        blank = strip(F.substring(text, F.lit(1), F.try_element_at(inner, F.lit(1)))) == ""
+        inner = F.when(blank, F.slice(inner, 2, F.greatest(F.size(inner) - 1, F.lit(0)))).otherwise(inner)
+        is_thread = (F.size(found) >= 2) | ((F.size(found) == 1) & has_subject)
+        return F.when(is_thread, F.struct(F.array_min(inner).alias("end"), F.array_max(inner).alias("begin")))
+
     before, after = vocab.ELIDED_THREAD.split("%s")
-    joined = F.concat(
-        F.regexp_replace(F.substring(text, F.lit(1), end), r"(?U)\s+$", ""),
-        F.lit(before),
-        (begin - end).cast("string"),
-        F.lit(after),
-        F.regexp_replace(F.substring(text, begin + 1, size), r"(?U)^\s+", ""),
-    )
-    fits = is_thread & (begin > end) & (F.char_length(joined) <= cap)
-    cut = F.struct(
-        joined.alias("text"),
-        F.lit("structure_aware_email_2msg").alias("mode"),
-        end.alias("elided_start"),
-        begin.alias("elided_end"),
-    )
-    return F.when((size > cap) & F.coalesce(fits, F.lit(False)), cut).otherwise(
-        head_tail(text, cap, head_ratio)
-    )
+
+    def joined(at: Column) -> Column:
+        body = F.concat(
+            F.regexp_replace(F.substring(text, F.lit(1), at["end"]), r"(?U)\s+$", ""),
+            F.lit(before),
+            (at["begin"] - at["end"]).cast("string"),
+            F.lit(after),
+            F.regexp_replace(F.substring(text, at["begin"] + 1, size), r"(?U)^\s+", ""),
+        )
+        return F.when(
+            at["begin"] > at["end"],
+            F.struct(
+                body.alias("text"),
+                F.lit("structure_aware_email_2msg").alias("mode"),
+                at["end"].alias("elided_start"),
+                at["begin"].alias("elided_end"),
+            ),
+        )
+
+    cut = let(let(found, boundaries), joined)
+    kept = let(cut, lambda c: F.when(F.char_length(c["text"]) <= cap, c))
+    return F.coalesce(F.when(size > cap, kept), head_tail(text, cap, head_ratio))
 
 
 def elided_mentions(text: Column, start: Column, end: Column, identifiers: Column) -> Column:

@@ -141,9 +141,13 @@ def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
         .withColumn("n", F.size("grams"))
     )
     keep = (F.col("n") - F.ceil(F.lit(threshold * threshold) * F.col("n")) + 1).cast("int")
-    rare = ordered.select("case_id", "name", "n", "grams", F.explode(F.slice("grams", F.lit(1), keep)).alias("g"))
+    rare = ordered.select(
+        "case_id", "name", "n", "grams", F.posexplode(F.slice("grams", F.lit(1), keep)).alias("pos", "g")
+    )
     a, b = rare.alias("a"), rare.alias("b")
     cosine = F.size(F.array_intersect("a.grams", "b.grams")) / F.sqrt(F.col("a.n") * F.col("b.n"))
+    # from their first common trigram on, two sets cannot share more than what is left of either
+    left = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
     return (
         a.join(
             b,
@@ -151,7 +155,8 @@ def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
             & (F.col("a.g") == F.col("b.g"))
             & (F.col("a.name") < F.col("b.name"))
             & (F.col("a.n") * threshold * threshold <= F.col("b.n"))
-            & (F.col("b.n") * threshold * threshold <= F.col("a.n")),
+            & (F.col("b.n") * threshold * threshold <= F.col("a.n"))
+            & (left >= threshold * F.sqrt(F.col("a.n") * F.col("b.n")) - 1e-9),
         )
         .withColumn("similarity", cosine)
         .filter(F.col("similarity") >= threshold - 1e-12)
@@ -168,25 +173,20 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     label's own label shortens chains. Rounds are checkpointed in the shared folder.
     """
     edges = cut_lineage(links.select("case_id", "node", "key").distinct())
-    labels = cut_lineage(edges.groupBy("case_id", "node").agg(F.min("node").alias("label")))
+    labels = edges.groupBy("case_id", "node").agg(F.min("node").alias("label"))
     for _ in range(max_rounds):
         by_key = edges.join(labels, ["case_id", "node"]).groupBy("case_id", "key").agg(F.min("label").alias("label"))
         reached = edges.join(by_key, ["case_id", "key"]).groupBy("case_id", "node").agg(F.min("label").alias("label"))
         jump = reached.select("case_id", F.col("node").alias("label"), F.col("label").alias("up"))
-        after = (
+        before = labels.withColumnRenamed("label", "old")
+        labels = cut_lineage(
             reached.join(jump, ["case_id", "label"], "left")
-            .select("case_id", "node", F.least("label", F.coalesce("up", "label")).alias("label"))
-        )
-        after = cut_lineage(after)
-        moved = (
-            after.join(labels.withColumnRenamed("label", "old"), ["case_id", "node"])
-            .filter(F.col("label") != F.col("old"))
-            .limit(1)
-            .count()
+            .join(before, ["case_id", "node"])
+            .select("case_id", "node", F.least("label", F.coalesce("up", "label")).alias("label"), "old")
         )
-        labels = after
-        if not moved:
-            return labels
+        if labels.filter(F.col("label") != F.col("old")).isEmpty():
+            return labels.drop("old")
+        labels = labels.drop("old")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

@@ -22,6 +22,15 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the input comes in fewer pieces than there are cores.
+
+    Text work is heavy, and one small file is one task. Inputs with enough splits stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_(*ctes: str) -> str:
     """A WITH clause of the named CTEs and what they build on, each once, in order."""
     order: list[str] = []
@@ -51,7 +60,7 @@ EXT = {"en": "eml", "fr": "docx", "de": "pdf", "es": "txt"}
 
 
 def docs(spark: SparkSession, d: str, case: str = "source") -> DataFrame:
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents"), "doc_id").select(
         F.col(case).alias("case_id"), F.concat(F.lit("doc-"), "doc_id").alias("ref"), "doc_id", "text", "lang", "n_chars"
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vocab
+from ..functions.spans import once
 
 ERR = vocab.TYPE_ERROR
 
@@ -24,41 +25,41 @@ def event_ts_of(body: Column) -> Column:
     return F.coalesce(pick("ts"), pick("timestamp"))
 
 
-def _kind(payload: Column, name: str) -> tuple[Column, Column, Column]:
-    """Value, JSON type and presence of a payload field."""
-    variant = F.try_variant_get(F.try_parse_json(payload), f"$.{name}", "variant")
-    return F.get_json_object(payload, f"$.{name}"), F.schema_of_variant(variant), variant.isNotNull()
+def scrub(field: Column, shape: str, arg, written: Column | None = None) -> Column:
+    """A variant field as text if it has the declared shape, else `<typeerror>`; null when absent.
 
-
-def scrub(payload: Column, name: str, shape: str, arg) -> Column:
-    """A field's value if it has the declared shape, else `<typeerror>`; null when absent."""
-    value, kind, present = _kind(payload, name)
-    text, whole = kind == "STRING", kind == "BIGINT"
-    number = whole | F.startswith(kind, F.lit("DECIMAL")) | kind.isin("DOUBLE", "FLOAT")
+    `written` is the value as it stands in the payload: 60.0 stays 60.0.
+    """
+    kind, value = F.schema_of_variant(field), field.try_cast("string")
+    whole = kind == "BIGINT"
     if shape == "enum":
-        fits = text & value.isin(*arg)
+        fits = (kind == "STRING") & value.isin(*arg)
     elif shape == "int":
-        fits = whole & value.try_cast("decimal(38,0)").between(*arg)
+        fits = whole & field.try_cast("bigint").between(*arg)
     elif shape == "num":
-        fits = number & value.try_cast("double").between(*arg)
+        number = whole | F.startswith(kind, F.lit("DECIMAL")) | kind.isin("DOUBLE", "FLOAT")
+        fits = number & F.when(number, field.try_cast("double")).between(*arg)
     elif shape == "iso8601":
-        fits = text & F.rlike(value, F.lit(vocab.ISO8601))
+        fits = (kind == "STRING") & F.rlike(value, F.lit(vocab.ISO8601))
     else:
         raise ValueError(f"unknown shape {shape!r}")
-    return F.when(present, F.when(F.coalesce(fits, F.lit(False)), value).otherwise(ERR))
+    shown = value if written is None else written
+    return F.when(field.isNotNull(), F.when(F.coalesce(fits, F.lit(False)), shown).otherwise(ERR))
+
+
+# a field has one shape wherever it appears, so each is scrubbed once per event
+FIELDS = {name: rule for fields in vocab.EVENT_FIELDS.values() for name, rule in fields.items()}
 
 
-def _summary(event_type: Column, payload: Column) -> Column:
+def _summary(event_type: Column) -> Column:
     out = F
     for name, template in vocab.EVENT_SUMMARIES.items():
-        fields = vocab.EVENT_FIELDS[name]
         parts, rest = [], template
         while "{" in rest:
             lead, _, rest = rest.partition("{")
             field, _, rest = rest.partition("}")
-            parts += [F.lit(lead), F.coalesce(scrub(payload, field, *fields[field]), F.lit(ERR))]
-        parts.append(F.lit(rest))
-        out = out.when(event_type == name, F.concat(*parts))
+            parts += [F.lit(lead), F.coalesce(F.col(f"s_{field}"), F.lit(ERR))]
+        out = out.when(event_type == name, F.concat(*parts, F.lit(rest)))
     return out.otherwise(vocab.SUMMARY_UNKNOWN)
 
 
@@ -68,21 +69,29 @@ def project(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     An unknown type yields kind, ts, source and the fixed summary and nothing else. A payload
     that is not an object counts as empty. Columns in `keep` are passed through for the caller.
     """
-    kind, body = F.col("event_type"), F.col("payload")
-    is_object = F.rlike(F.coalesce(body, F.lit("")), F.lit(r"^\s*\{")) & F.try_parse_json(body).isNotNull()
-    body = F.when(is_object, body).otherwise(F.lit("{}"))
+    kind = F.col("event_type")
     known = F.coalesce(kind.isin(*vocab.EVENT_FIELDS), F.lit(False))
-    stage_of = F.when(kind.isin(*[n for n, f in vocab.EVENT_FIELDS.items() if "stage" in f]), scrub(body, "stage", "enum", vocab.KNOWN_STAGES))
-    _, _, has_severity = _kind(body, "severity")
-    severity = F.when(has_severity, scrub(body, "severity", "enum", vocab.SEVERITIES)).otherwise("info")
+    schema = ", ".join(f"{name} variant" for name in sorted({*FIELDS, "severity"}))
+    is_object = F.startswith(F.ltrim("payload"), F.lit("{"))
+    body = F.when(known & is_object, F.from_json("payload", schema))
+    rows = events.withColumn("b_", once(body))
+    users = {f: [t for t, fields in vocab.EVENT_FIELDS.items() if f in fields] for f in FIELDS}
+    written = {f: F.get_json_object("payload", f"$.{f}") for f, (shape, _) in FIELDS.items() if shape == "num"}
+    scrubbed = {
+        f"s_{f}": once(F.when(kind.isin(*users[f]), scrub(F.col(f"b_.{f}"), *FIELDS[f], written.get(f))))
+        for f in FIELDS
+        if f != "ts"
+    }
+    severity = F.coalesce(scrub(F.col("b_.severity"), "enum", vocab.SEVERITIES), F.lit("info"))
+    rows = rows.withColumns(scrubbed)
     ts = F.when(F.coalesce(F.rlike("ts", F.lit(vocab.ISO8601)), F.lit(False)), F.col("ts")).otherwise(ERR)
-    return events.select(
+    return rows.select(
         *(keep or []),
         F.lit("event").alias("kind"),
         ts.alias("ts"),
         F.coalesce("source", F.lit("unknown")).alias("source"),
         F.when(known, kind).alias("event_type"),
-        F.when(known, stage_of).alias("stage"),
+        F.col("s_stage").alias("stage"),
         F.when(known, severity).alias("severity"),
-        F.when(known, _summary(kind, body)).otherwise(vocab.SUMMARY_UNKNOWN).alias("summary"),
+        F.when(known, _summary(kind)).otherwise(vocab.SUMMARY_UNKNOWN).alias("summary"),
     )
