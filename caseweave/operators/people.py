@@ -285,8 +285,8 @@ def header_proximity(mentions: DataFrame, subject_lines: DataFrame, reach: int =
 
 def ranking_score() -> Column:
     """mentions x documents x (1 - subject confidence); anything unreadable scores zero."""
-    part = lambda c, d: F.coalesce(F.col(c), F.lit(d)).try_cast("double")
-    score = part("mention_count", 0) * part("distinct_doc_count", 0) * (1 - part("is_subject_confidence", 0.0))
+    part = lambda c: F.when(F.col(c).isNull(), 0.0).otherwise(F.col(c).try_cast("double"))
+    score = part("mention_count") * part("distinct_doc_count") * (1 - part("is_subject_confidence"))
     return F.coalesce(score, F.lit(0.0))
 
 

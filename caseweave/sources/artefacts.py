@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import hashing, spans
-from .jsonl import _exists, case_of, read_lenient
+from .jsonl import case_of, existing, read_lenient
 
 
 def read_register(spark: SparkSession, paths) -> DataFrame:
     """Register files: one JSON array each. A file that holds anything else stops the job."""
-    raw = spark.read.option("wholetext", True).text(paths).withColumn("case_id", case_of(F.col("_metadata.file_path")))
+    raw = spark.read.text(paths, wholetext=True).withColumn("case_id", case_of(F.col("_metadata.file_path")))
     is_array = F.rlike("value", F.lit(r"(?s)^\s*\[.*\]\s*$"))
     rows = F.from_json("value", f"array<struct<{_struct(schemas.REGISTER)}>>", {"mode": "FAILFAST"})
     checked = F.when(is_array, rows).otherwise(F.raise_error("register is not a JSON array"))
@@ -98,11 +98,9 @@ def collect_logs(spark: SparkSession, root: str) -> DataFrame:
     """All logs of all cases under a root in one table with a `source` column; absent logs are empty."""
     parts = []
     for name, schema in LOGS.items():
-        rows = read_lenient(spark, [f"{root}/*/audit/{name}", f"{root}/*/working/{name}"], schema) if _exists(
-            spark, [f"{root}/*/audit/{name}", f"{root}/*/working/{name}"]
-        ) else None
-        if rows is not None:
-            parts.append(rows.withColumn("source", F.lit(name)))
+        paths = existing(spark, [f"{root}/*/audit/{name}", f"{root}/*/working/{name}"])
+        if paths:
+            parts.append(read_lenient(spark, paths, schema).withColumn("source", F.lit(name)))
     if not parts:
         return spark.createDataFrame([], "case_id string, source string")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

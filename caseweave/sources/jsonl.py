@@ -35,7 +35,8 @@ def _has_case(schema: str) -> bool:
 
 def read_lenient(spark: SparkSession, paths, schema: str) -> DataFrame:
     """Rows that parse; blank and malformed lines are skipped. No matching file gives no rows."""
-    if not _exists(spark, paths):
+    paths = existing(spark, paths)
+    if not paths:
         return spark.createDataFrame([], schema if _has_case(schema) else f"{schema}, case_id string")
     return _raw(spark, paths, schema).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "source")
 
@@ -126,13 +127,14 @@ def read_defensive(spark: SparkSession, paths, schema: str, cap: int = 1024 * 10
     )
 
 
-def _exists(spark: SparkSession, paths) -> bool:
-    """Whether any path or glob matches a file."""
+def existing(spark: SparkSession, paths) -> list[str]:
+    """The paths and globs that match at least one file."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
+    out = []
     for p in [paths] if isinstance(paths, str) else paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         found = path.getFileSystem(conf).globStatus(path)
         if found is not None and len(found) > 0:
-            return True
-    return False
+            out.append(p)
+    return out
