@@ -17,15 +17,6 @@ def hash_rank_key(seed: int | str, *columns: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in columns]), 256)
 
 
-def _null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
-    """Equi-join on columns that may be null, keeping the left names."""
-    right = right.select([F.col(c).alias(f"r_{c}") if c in names else F.col(c) for c in right.columns])
-    cond = F.lit(True)
-    for c in names:
-        cond = cond & left[c].eqNullSafe(right[f"r_{c}"])
-    return left.join(right, cond, how).drop(*[f"r_{c}" for c in names])
-
-
 def global_rank(
     df: DataFrame,
     keys: list[str],
@@ -37,21 +28,26 @@ def global_rank(
     """Exact 1-based rank inside each key group without one task per group.
 
     `coarse` lists (expression, descending) pairs whose joint order agrees with the
-    wanted order; `fine` orders rows that share a coarse bucket. With a hash prefix as
+    wanted order and are never null; `fine` orders rows that share a coarse bucket. With a hash prefix as
     the last coarse column, ties of any size are spread evenly.
     """
     cols = [f"_c{i}" for i in range(len(coarse))]
-    df = df.withColumns({c: e for c, (e, _) in zip(cols, coarse)})
-    buckets = df.groupBy(*keys, *cols).agg(F.count(F.lit(1)).alias("_n"))
+    # keys that cannot be null, so that one plain equi-join on the window's own partitioning will do
+    own = [f"_k{i}" for i in range(len(keys))]
+    df = df.withColumns(
+        {k: F.coalesce(F.col(name_).cast("string"), F.lit("\x00")) for k, name_ in zip(own, keys)}
+        | {c: e for c, (e, _) in zip(cols, coarse)}
+    )
+    buckets = df.groupBy(*own, *cols).agg(F.count(F.lit(1)).alias("_n"))
     order = [F.desc(c) if down else F.asc(c) for c, (_, down) in zip(cols, coarse)]
-    walk = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    walk = Window.partitionBy(*own).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     summary = buckets.withColumn("_before", F.coalesce(F.sum("_n").over(walk), F.lit(0)))
     if total:
-        summary = summary.withColumn(total, F.sum("_n").over(Window.partitionBy(*keys)))
-    inside = Window.partitionBy(*keys, *cols).orderBy(*fine)
+        summary = summary.withColumn(total, F.sum("_n").over(Window.partitionBy(*own)))
+    inside = Window.partitionBy(*own, *cols).orderBy(*fine)
     ranked = df.withColumn("_rn", F.row_number().over(inside))
-    out = _null_safe(ranked, summary.drop("_n"), [*keys, *cols], "inner")
-    return out.withColumn(name, F.col("_before") + F.col("_rn")).drop(*cols, "_before", "_rn")
+    out = ranked.join(summary.drop("_n"), [*own, *cols], "inner")
+    return out.withColumn(name, F.col("_before") + F.col("_rn")).drop(*own, *cols, "_before", "_rn")
 
 
 def linked(

@@ -161,11 +161,6 @@ def text_quality(confidence: Column, density: Column, yield_ratio: Column, cuts:
     )
 
 
-def reason_codes(spark) -> DataFrame:
-    """The fixed reason code table."""
-    return spark.createDataFrame(vocab.REASON_CODES, "reason_code string, label string, requires_note boolean")
-
-
 def reason_code_audit(decisions: DataFrame) -> DataFrame:
     """Each decision with the fault of its reason code, if any."""
     known = {code: needs for code, _, needs in vocab.REASON_CODES}

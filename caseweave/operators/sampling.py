@@ -38,7 +38,7 @@ def qa_sample(docs: DataFrame, size: int = 30, seed: int = 42) -> DataFrame:
     ranked = global_rank(
         _hashed(docs, seed),
         ["case_id"],
-        [(F.col("entity_count"), True), (_prefix(), False)],
+        [(F.coalesce("entity_count", F.lit(0)), True), (_prefix(), False)],
         [F.col("_h"), F.col("ref")],
         total="n_docs",
     )

@@ -217,9 +217,19 @@ def header_proximity(spark, d):
     return people.header_proximity(named, subject)
 
 
-@query("correlation_ids")
+def _uuid5_sql(ns: str, name: str) -> str:
+    h = f"sha1(from_hex(replace({ns}, '-', '')) || encode({name}))"
+    variant = f"lower(substr('89ab', (strpos('0123456789abcdef', substr({h}, 17, 1)) - 1) % 4 + 1, 1))"
+    return f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || {variant} || substr({h}, 18, 3) || '-' || substr({h}, 21, 12)"
+
+
+@query(
+    "correlation_ids",
+    with_("docs")
+    + f"select case_id, ref, {_uuid5_sql('cns', chr(39) + 'raw_dump:' + chr(39) + ' || ref')} as correlation_id from (select case_id, ref, {_uuid5_sql(chr(39) + '6ba7b811-9dad-11d1-80b4-00c04fd430c8' + chr(39), 'case_id')} as cns from docs)",
+)
 def correlation_ids(spark, d):
-    """Name-based ids of each document under its strategy; checked against Python's uuid5 in the tests."""
+    """Name-based ids of each document under its strategy."""
     ns = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
     return st.docs(spark, d).select("case_id", "ref", hashing.correlation_id(ns, F.col("case_id"), F.lit("raw_dump"), F.col("ref")).alias("correlation_id"))
 
@@ -238,9 +248,25 @@ def _person_mentions(spark, d):
     )
 
 
-@query("alias_clusters")
+MENTIONS = with_("ldocs") + (
+    f", l as (select case_id, ref, regexp_extract(text, '{st.EMAIL_SQL}', 0) as mail, regexp_extract_all(text, '{st.WORD}') as w from ldocs), "
+    "u as (select case_id, ref, mail, list_filter(w, lambda x, i: list_position(w, x) = i) as w from l), "
+    "m as (select case_id, ref || '#' || (i - 1) as mention_id, w[i] as value, lower(w[i]) as name, case when i = 1 then nullif(mail, '') end as mail from (select *, unnest(range(1, len(w) + 1)) as i from u)), "
+    "g as (select case_id, name, list_distinct(list_transform(range(1, length(name) + 2), lambda i: ('  ' || name || ' ')[i:i + 2])) as g from (select distinct case_id, name from m)) "
+)
+
+
+@query(
+    "alias_clusters",
+    MENTIONS.replace("with docs", "with recursive docs", 1).replace("with ldocs", "with recursive ldocs", 1)
+    + """, e as (select a.case_id, a.name as x, b.name as y from g a join g b on a.case_id = b.case_id and a.name <> b.name where len(list_intersect(a.g, b.g)) / sqrt(len(a.g) * len(b.g)) >= 0.85 - 1e-12
+    union select a.case_id, a.name, b.name from m a join m b on a.case_id = b.case_id and lower(a.mail) = lower(b.mail)),
+    r as (select case_id, name as x, name as y from g union select r.case_id, r.x, e.y from r join e on r.case_id = e.case_id and r.y = e.x),
+    k as (select case_id, x as name, min(y) as root from r group by 1, 2), t as (select case_id, root, min(mention_id) as cluster from m join k using (case_id, name) group by 1, 2)
+    select case_id, mention_id, cluster from m join k using (case_id, name) join t using (case_id, root)""",
+)
 def alias_clusters(spark, d):
-    """Persons behind mentions: same address, same or similar name. Checked by brute force in the tests."""
+    """Persons behind mentions: same address, same or similar name."""
     return people.alias_clusters(_person_mentions(spark, d))
 
 
@@ -277,7 +303,14 @@ def denylist_violations(spark, d):
     return people.denylist_violations(e, subject, 0.4).withColumn("max_similarity", F.round("max_similarity", 6))
 
 
-@query("denylist_hits")
+@query(
+    "denylist_hits",
+    MENTIONS
+    + """, d as (select distinct case_id, name from m where length(value) = 12), f as (select distinct a.case_id, a.name from g a join d using (case_id) join g b on b.case_id = d.case_id and b.name = d.name
+    where len(list_intersect(a.g, b.g)) / sqrt(len(a.g) * len(b.g)) >= 0.8 - 1e-12)
+    select case_id, mention_id as ref, 'name' as kind, value, case when name in (select name from d where d.case_id = m.case_id) then 'exact' else 'fuzzy' end as match from m join f using (case_id, name)
+    union all select case_id, mention_id, 'email', mail, 'exact' from m where mail is not null""",
+)
 def denylist_hits(spark, d):
     """Addresses and names of documents against a denylist of addresses and the shorter names."""
     m = _person_mentions(spark, d)
