@@ -14,9 +14,10 @@ def mark_duplicates(docs: DataFrame, message_id: Column | None = None) -> DataFr
     of the corpus is never gathered in one task. Text itself is not shuffled.
     """
     has_id = F.lit(False) if message_id is None else F.coalesce(message_id, F.lit("")) != ""
+    # not-null keys: a null test on one side only would keep both sides from sharing one exchange
     keyed = docs.select(
-        "case_id",
-        "ref",
+        F.coalesce("case_id", F.lit("")).alias("case_id"),
+        F.coalesce("ref", F.lit("")).alias("ref"),
         F.when(has_id, message_id if message_id is not None else F.lit("")).otherwise(F.col("hash")).alias("dedupe_key"),
         F.when(has_id, "message_id").otherwise("sha256").alias("dedupe_basis"),
     ).repartition("case_id", "ref")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing, vocab
+from ..session import cut_lineage
 from .ordered import linked
 
 FLAT_LIMIT = 100_000
@@ -184,7 +185,8 @@ def corpus_seal(files: DataFrame, truth: DataFrame) -> DataFrame:
     seal null and is counted.
     """
     body = hashing.digest(hashing.normal_newlines(F.col("text")))
-    rows = (
+    # written once: the digests are narrow, and read three times below
+    rows = cut_lineage(
         files.select("case_id", "ref", body.alias("content"))
         .distinct()
         .join(truth.select("case_id", "ref", "label"), ["case_id", "ref"], "left")

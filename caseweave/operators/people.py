@@ -114,10 +114,16 @@ def strategy_candidates(register: DataFrame) -> DataFrame:
 
 
 def _grams(name: Column) -> Column:
-    """Distinct character trigrams of a padded name."""
+    """Distinct character trigrams of a padded name, each as one number (three code points)."""
     padded = F.concat(F.lit("  "), name, F.lit(" "))
+    points = F.transform(F.split(padded, ""), lambda c: F.ascii(c).cast("bigint"))
     return F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.char_length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3)))
+        F.transform(
+            F.sequence(F.lit(1), F.char_length(padded) - 2),
+            lambda i: (F.element_at(points, i) * (1 << 42))
+            + (F.element_at(points, i + 1) * (1 << 21))
+            + F.element_at(points, i + 2),
+        )
     )
 
 
@@ -130,37 +136,42 @@ def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
     and every candidate is checked.
     """
     distinct = names.select("case_id", "name").filter("name <> ''").distinct()
-    sets = distinct.withColumn("grams", _grams(F.col("name")))
+    sets = distinct.withColumn("grams", spans.once(_grams(F.col("name"))))
     freq = sets.select("case_id", F.explode("grams").alias("g")).groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("df"))
     ordered = (
         sets.select("case_id", "name", F.explode("grams").alias("g"))
         .join(freq, ["case_id", "g"], "inner")
         .groupBy("case_id", "name")
         .agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("o"))
-        .withColumn("grams", F.transform("o", lambda x: x["g"]))
+        .withColumn("grams", spans.once(F.transform("o", lambda x: x["g"])))
         .withColumn("n", F.size("grams"))
     )
     keep = (F.col("n") - F.ceil(F.lit(threshold * threshold) * F.col("n")) + 1).cast("int")
     rare = ordered.select(
         "case_id", "name", "n", "grams", F.posexplode(F.slice("grams", F.lit(1), keep)).alias("pos", "g")
     )
+    # few bytes but much work per byte: ask for the full number of tasks, which is not coalesced
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rare = rare.repartition(tasks, "case_id", "g")
     a, b = rare.alias("a"), rare.alias("b")
     cosine = F.size(F.array_intersect("a.grams", "b.grams")) / F.sqrt(F.col("a.n") * F.col("b.n"))
     # from their first common trigram on, two sets cannot share more than what is left of either
     left = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
+    candidates = a.join(
+        b,
+        (F.col("a.case_id") == F.col("b.case_id"))
+        & (F.col("a.g") == F.col("b.g"))
+        & (F.col("a.name") < F.col("b.name"))
+        & (F.col("a.n") * threshold * threshold <= F.col("b.n"))
+        & (F.col("b.n") * threshold * threshold <= F.col("a.n"))
+        & (left >= threshold * F.sqrt(F.col("a.n") * F.col("b.n")) - 1e-9),
+    )
+    # the costly test comes after the cheap ones, not inside the join with them
     return (
-        a.join(
-            b,
-            (F.col("a.case_id") == F.col("b.case_id"))
-            & (F.col("a.g") == F.col("b.g"))
-            & (F.col("a.name") < F.col("b.name"))
-            & (F.col("a.n") * threshold * threshold <= F.col("b.n"))
-            & (F.col("b.n") * threshold * threshold <= F.col("a.n"))
-            & (left >= threshold * F.sqrt(F.col("a.n") * F.col("b.n")) - 1e-9),
+        candidates.select(
+            "a.case_id", F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"), spans.once(cosine).alias("similarity")
         )
-        .withColumn("similarity", cosine)
         .filter(F.col("similarity") >= threshold - 1e-12)
-        .select("a.case_id", F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"), "similarity")
         .distinct()
     )
 
@@ -194,37 +205,37 @@ def alias_clusters(mentions: DataFrame, threshold: float = 0.85) -> DataFrame:
     """Cluster label per mention (case_id, mention_id, name, email, phone).
 
     Mentions are one person when they share an e-mail address or a phone number, have the same
-    name, or have names whose trigram cosine reaches the threshold. Identical names are folded
-    before names are compared.
+    name, or have names whose trigram cosine reaches the threshold. Mentions of one name are one
+    node from the start, and only keys that join two nodes take part in the rounds. A cluster is
+    labelled by its smallest node: `name:...`, or `self:...` for a mention without a name.
     """
     name = F.lower(tx.strip(F.regexp_replace(F.coalesce("name", F.lit("")), r"(?U)\s+", " ")))
+    own = F.concat(F.lit("self:"), F.col("mention_id").cast("string"))
     rows = mentions.withColumn("name", name)
+    rows = rows.withColumn("node", F.when(F.col("name") != "", F.concat(F.lit("name:"), "name")).otherwise(own))
 
     def keyed(kind: str, value: Column) -> DataFrame:
-        return rows.select(
-            "case_id",
-            F.col("mention_id").cast("string").alias("node"),
-            F.concat(F.lit(kind + ":"), value).alias("key"),
-        ).filter(F.coalesce(value, F.lit("")) != "")
+        return rows.select("case_id", "node", F.concat(F.lit(kind + ":"), value).alias("key")).filter(
+            F.coalesce(value, F.lit("")) != ""
+        )
 
+    contact = keyed("mail", F.lower(F.trim("email"))).unionByName(
+        keyed("phone", F.regexp_replace(F.coalesce("phone", F.lit("")), r"[^0-9+]", ""))
+    )
+    contact = contact.distinct()
+    shared = contact.groupBy("case_id", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("case_id", "key")
     pairs = similar_names(rows, threshold)
     pair_key = F.concat(F.lit("pair:"), "name_a", F.lit("\x1f"), "name_b")
-    name_node = lambda c: F.concat(F.lit("name:"), F.col(c))
-    sides = pairs.select("case_id", name_node("name_a").alias("node"), pair_key.alias("key")).unionByName(
-        pairs.select("case_id", name_node("name_b").alias("node"), pair_key.alias("key"))
-    )
-    named = rows.filter("name <> ''").select("case_id", F.concat(F.lit("name:"), "name").alias("node")).distinct()
-    links = (
-        keyed("mail", F.lower(F.trim("email")))
-        .unionByName(keyed("phone", F.regexp_replace(F.coalesce("phone", F.lit("")), r"[^0-9+]", "")))
-        .unionByName(keyed("name", F.col("name")))
-        .unionByName(named.withColumn("key", F.col("node")))
-        .unionByName(sides)
-        .unionByName(rows.select("case_id", F.col("mention_id").cast("string").alias("node"), F.concat(F.lit("self:"), F.col("mention_id").cast("string")).alias("key")))
-    )
-    found = components(links).filter(~F.startswith("node", F.lit("name:")))
-    low = found.groupBy("case_id", "label").agg(F.min("node").alias("cluster"))
-    return found.join(low, ["case_id", "label"]).select("case_id", F.col("node").alias("mention_id"), "cluster")
+    sides = pairs.select(
+        "case_id",
+        F.explode(F.array(F.concat(F.lit("name:"), "name_a"), F.concat(F.lit("name:"), "name_b"))).alias("node"),
+        pair_key.alias("key"),
+    )
+    links = contact.join(shared, ["case_id", "key"], "left_semi").select("case_id", "node", "key").unionByName(sides)
+    labels = components(links)
+    return rows.join(labels, ["case_id", "node"], "left").select(
+        "case_id", F.col("mention_id").cast("string").alias("mention_id"), F.coalesce("label", "node").alias("cluster")
+    )
 
 
 def cluster_metrics(mentions: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import spans, text as tx, vocab
 from ..operators import dedupe, entities, latest, metrics, redaction, review
+from ..session import cut_lineage
 from . import standins as st
 from .registry import query
 from .standins import with_
@@ -133,9 +134,9 @@ def pending_flags(spark, d):
     return entities.pending_flags(entities.entity_rows(st.tags(spark, d)), st.register(spark, d))
 
 
-def _flag_decisions(spark, d):
+def _flag_decisions(rows):
     """A cluster decision for each flagged text, by its first letter."""
-    clusters = entities.flag_clusters(entities.entity_rows(st.tags(spark, d)))
+    clusters = entities.flag_clusters(rows)
     first = F.substring("text", 1, 1)
     return clusters.select(
         "case_id", "text", "classification",
@@ -155,7 +156,8 @@ def _flag_decisions(spark, d):
     when etext[1] < 'P' then 'preserve' else 'flag' end as state from ents) group by 1, 2""",
 )
 def flag_resolution(spark, d):
-    rows = redaction.resolve_flags(entities.entity_rows(st.tags(spark, d)), _flag_decisions(spark, d))
+    tagged = cut_lineage(entities.entity_rows(st.tags(spark, d)))
+    rows = redaction.resolve_flags(tagged, _flag_decisions(tagged))
     return rows.groupBy("case_id", F.col("redact").alias("state")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -285,7 +287,7 @@ def anonymise(spark, d):
     """Text with one label per distinct name in a case in place of the name."""
     from ..functions import hashing
 
-    tags = st.tags(spark, d)
+    tags = cut_lineage(st.tags(spark, d))
     names = entities.entity_rows(tags).select("case_id", F.lower("text").alias("name")).distinct()
     labels = names.withColumn("label", F.concat(F.lit("PERSON_C"), hashing.cluster_id(F.col("name"))))
     out = redaction.anonymise(st.docs(spark, d), tags, labels)
@@ -364,13 +366,13 @@ def dedupe_summary(spark, d):
     'canonical_only: ' || count(*) filter (where dedupe_verdict = 'canonical') || ' of ' || count(*) || ' refs to process' as summary from f group by 1""",
 )
 def dedupe_filter_status(spark, d):
-    return dedupe.filter_status(st.docs(spark, d, "lang"), _findings(spark, d))
+    return dedupe.filter_status(st.docs(spark, d, "lang"), cut_lineage(_findings(spark, d)))
 
 
 @query("canonical_documents", DEDUPE + "select case_id, ref, length(text) as n from f where dedupe_verdict = 'canonical'")
 def canonical_documents(spark, d):
     docs = st.docs(spark, d, "lang").select("case_id", "ref", F.char_length("text").cast("bigint").alias("n"))
-    return dedupe.keep_canonical(docs, _findings(spark, d))
+    return dedupe.keep_canonical(docs, cut_lineage(_findings(spark, d)))
 
 
 @query(

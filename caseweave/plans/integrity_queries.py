@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, stats, vocab
 from ..operators import integrity, metrics, quality
-from ..session import run_folder
+from ..session import cut_lineage, run_folder
 from ..streaming import feed, projection, watch
 from . import standins as st
 from .registry import query
@@ -68,7 +68,7 @@ def closure_funnel(spark, d):
     n = F.size(spans.pattern_spans(F.col("text"), vocab.EMAIL, "email", F.contains("text", F.lit("@"))))
     zero = F.lit(0).cast("bigint")
     tags = reg.select("case_id", "ref", n.alias("entity_count"), n.alias("redact_count"), zero.alias("flag_count"), zero.alias("subject_count"))
-    findings = dedupe.mark_duplicates(reg.select("case_id", "ref", "hash"))
+    findings = cut_lineage(dedupe.mark_duplicates(reg.select("case_id", "ref", "hash")))
     return metrics.closure_funnel(reg, reg.filter("n_chars >= 100"), findings, st.verdicts(spark, d), reg, tags)
 
 
@@ -441,8 +441,9 @@ def stage_hashes(spark, d):
 
 def _freshness(spark, d):
     """Recorded against current digests for two stages; cases past src4 have stale embeddings."""
-    current = set_hash(spark, d).select("case_id", F.explode(F.array(F.lit("ingest"), F.lit("embed"))).alias("stage"), F.col("set_hash").alias("upstream_hash"))
-    recorded = set_hash(spark, d).select(
+    digests = cut_lineage(set_hash(spark, d))
+    current = digests.select("case_id", F.explode(F.array(F.lit("ingest"), F.lit("embed"))).alias("stage"), F.col("set_hash").alias("upstream_hash"))
+    recorded = digests.select(
         "case_id", F.explode(F.array(F.lit("ingest"), F.lit("embed"))).alias("stage"), F.lit(True).alias("present"), F.lit(1).alias("n_rows"), "set_hash"
     )
     drift = (F.col("stage") == "embed") & (F.col("case_id") > "src4")
@@ -636,7 +637,8 @@ PROJECTED = (
 
 @query("event_projection", PROJECTED)
 def event_projection(spark, d):
-    return projection.project(st.table(spark, d, "events").select(*_raw_events()), keep=["case_id", "event_id"])
+    events = st.spread(st.table(spark, d, "events"), "event_id")
+    return projection.project(events.select(*_raw_events()), keep=["case_id", "event_id"])
 
 
 def _event_stream(spark, d):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing, stats, vocab
 from ..operators import entities, people, quality, review, sampling
+from ..session import cut_lineage
 from . import standins as st
 from .registry import query
 from .standins import with_
@@ -239,7 +240,8 @@ def _person_mentions(spark, d):
     docs = st.docs(spark, d, "lang")
     words = F.array_distinct(F.regexp_extract_all("text", F.lit(st.WORD), F.lit(0)))
     mail = F.nullif(F.regexp_extract("text", vocab.EMAIL, 0), F.lit(""))
-    return docs.select("case_id", "ref", F.posexplode(words).alias("pos", "name"), mail.alias("mail")).select(
+    rows = docs.select("case_id", "ref", F.posexplode(words).alias("pos", "name"), mail.alias("mail"))
+    return rows.select(
         "case_id",
         F.concat_ws("#", "ref", F.col("pos").cast("string")).alias("mention_id"),
         "name",
@@ -262,12 +264,11 @@ MENTIONS = with_("ldocs") + (
     + """, e as (select a.case_id, a.name as x, b.name as y from g a join g b on a.case_id = b.case_id and a.name <> b.name where len(list_intersect(a.g, b.g)) / sqrt(len(a.g) * len(b.g)) >= 0.85 - 1e-12
     union select a.case_id, a.name, b.name from m a join m b on a.case_id = b.case_id and lower(a.mail) = lower(b.mail)),
     r as (select case_id, name as x, name as y from g union select r.case_id, r.x, e.y from r join e on r.case_id = e.case_id and r.y = e.x),
-    k as (select case_id, x as name, min(y) as root from r group by 1, 2), t as (select case_id, root, min(mention_id) as cluster from m join k using (case_id, name) group by 1, 2)
-    select case_id, mention_id, cluster from m join k using (case_id, name) join t using (case_id, root)""",
+    k as (select case_id, x as name, min(y) as root from r group by 1, 2) select case_id, mention_id, 'name:' || root as cluster from m join k using (case_id, name)""",
 )
 def alias_clusters(spark, d):
     """Persons behind mentions: same address, same or similar name."""
-    return people.alias_clusters(_person_mentions(spark, d))
+    return people.alias_clusters(cut_lineage(_person_mentions(spark, d)))
 
 
 @query(
@@ -279,8 +280,8 @@ def alias_clusters(spark, d):
     where len(list_intersect(a.g, b.g)) / sqrt(len(a.g) * len(b.g)) >= 0.7 - 1e-12""",
 )
 def similar_names(spark, d):
-    names = _person_mentions(spark, d).select("case_id", F.lower("name").alias("name"))
-    return people.similar_names(names, 0.7).withColumn("similarity", F.round("similarity", 6))
+    names = _person_mentions(spark, d).select("case_id", F.lower("name").alias("name")).distinct()
+    return people.similar_names(cut_lineage(names), 0.7).withColumn("similarity", F.round("similarity", 6))
 
 
 @query(
@@ -313,7 +314,7 @@ def denylist_violations(spark, d):
 )
 def denylist_hits(spark, d):
     """Addresses and names of documents against a denylist of addresses and the shorter names."""
-    m = _person_mentions(spark, d)
+    m = cut_lineage(_person_mentions(spark, d))
     tokens = m.select("case_id", F.col("mention_id").alias("ref"), F.lit("name").alias("kind"), F.col("name").alias("value")).unionByName(
         m.filter("email is not null").select("case_id", F.col("mention_id").alias("ref"), F.lit("email").alias("kind"), F.col("email").alias("value"))
     )
@@ -327,8 +328,9 @@ COUNTS = with_("docs") + ", c as (select case_id, ref, len(regexp_extract_all(te
 
 
 def _counted(spark, d):
+    """Entity counts per document, written once: ranking reads them more than once."""
     n = F.size(F.regexp_extract_all("text", F.lit(st.WORD), F.lit(0)))
-    return st.docs(spark, d).select("case_id", "ref", n.alias("entity_count"), "n_chars")
+    return cut_lineage(st.docs(spark, d).select("case_id", "ref", n.alias("entity_count"), "n_chars"))
 
 
 @query(
@@ -398,7 +400,7 @@ JURY = with_("register") + (
 
 def _jury_docs(spark, d):
     n = F.size(F.regexp_extract_all("text", F.lit(st.WORD), F.lit(0)))
-    return st.register(spark, d).select("case_id", "ref", "text_quality", n.alias("entity_count"))
+    return cut_lineage(st.register(spark, d).select("case_id", "ref", "text_quality", n.alias("entity_count")))
 
 
 @query(

@@ -71,18 +71,17 @@ def project(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """
     kind = F.col("event_type")
     known = F.coalesce(kind.isin(*vocab.EVENT_FIELDS), F.lit(False))
-    schema = ", ".join(f"{name} variant" for name in sorted({*FIELDS, "severity"}))
     is_object = F.startswith(F.ltrim("payload"), F.lit("{"))
-    body = F.when(known & is_object, F.from_json("payload", schema))
-    rows = events.withColumn("b_", once(body))
+    rows = events.withColumn("b_", once(F.when(known & is_object, F.try_parse_json("payload"))))
     users = {f: [t for t, fields in vocab.EVENT_FIELDS.items() if f in fields] for f in FIELDS}
+    field = lambda f: F.try_variant_get("b_", f"$.{f}", "variant")
     written = {f: F.get_json_object("payload", f"$.{f}") for f, (shape, _) in FIELDS.items() if shape == "num"}
     scrubbed = {
-        f"s_{f}": once(F.when(kind.isin(*users[f]), scrub(F.col(f"b_.{f}"), *FIELDS[f], written.get(f))))
+        f"s_{f}": once(F.when(kind.isin(*users[f]), scrub(field(f), *FIELDS[f], written.get(f))))
         for f in FIELDS
         if f != "ts"
     }
-    severity = F.coalesce(scrub(F.col("b_.severity"), "enum", vocab.SEVERITIES), F.lit("info"))
+    severity = F.coalesce(scrub(field("severity"), "enum", vocab.SEVERITIES), F.lit("info"))
     rows = rows.withColumns(scrubbed)
     ts = F.when(F.coalesce(F.rlike("ts", F.lit(vocab.ISO8601)), F.lit(False)), F.col("ts")).otherwise(ERR)
     return rows.select(
