@@ -89,3 +89,14 @@ def leak_terms(note: Column) -> Column:
     """Terms a reviewer listed at the head of a note for another redaction round."""
     listed = F.regexp_extract(note, r"LEAK_TERMS=(\[.*?\])(?:\n|$)", 1)
     return F.when(listed != "", F.from_json(listed, "array<string>"))
+
+
+def trim_error(body: Column, cap: int = 400) -> Column:
+    """An error object cut down to its code and message; anything that is not an object is null."""
+
+    def short(name: str) -> Column:
+        value = field(body, name)
+        return F.when(F.char_length(value) > cap, F.concat(F.substring(value, 1, cap - 1), F.lit("…"))).otherwise(value)
+
+    is_object = F.startswith(F.ltrim(body), F.lit("{")) & F.try_parse_json(body).isNotNull()
+    return F.when(is_object, F.struct(short("code").alias("code"), short("message").alias("message")))

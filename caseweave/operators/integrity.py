@@ -87,7 +87,7 @@ def resume_plan(freshness: DataFrame, cases: DataFrame, unregistered_stale: bool
 # ---- audit chain -----------------------------------------------------------
 
 
-def emit_chain(events: DataFrame, segment: int = 10_000, seq: str = "seq") -> DataFrame:
+def emit_chain(events: DataFrame, segment: int = 1_000, seq: str = "seq") -> DataFrame:
     """Hash-chained events: each hash covers the payload and the hash before it.
 
     Chaining is sequential by nature. Events are chained inside segments of `segment` ordinals, in

@@ -36,6 +36,43 @@ def header_people(docs: DataFrame) -> DataFrame:
     )
 
 
+def signature_people(docs: DataFrame) -> DataFrame:
+    """Names in signature regions, each with the confidence of how it was found.
+
+    A name after a signing keyword is `anchored`; one on the line under a drawn line alone is
+    `underscore`; a line of capitalised words among the last five is `last_lines`. The best origin
+    of a name in a document wins.
+    """
+    text = F.col("text")
+    anchor = r"(?im)^[ \t]*(?:Signatory|Signed by|Executed by|Print Name|Name)[ \t]*:[ \t_]*([^\n_]{2,80}?)[ \t_]*$"
+    drawn = r"(?m)^[ \t]*_{5,}[ \t]*\n[ \t]*([^\n:]{2,80}?)[ \t]*$"
+    lines = F.split(text, "\n")
+    last = F.slice(lines, F.greatest(F.size(lines) - 4, F.lit(1)), F.lit(5))
+    name_line = F.lit(r"^[\p{Lu}][\p{L}'.-]+(?: [\p{Lu}][\p{L}'.-]+){1,3}$")
+    found = {
+        "anchored": F.regexp_extract_all(text, F.lit(anchor), F.lit(1)),
+        "underscore": F.regexp_extract_all(text, F.lit(drawn), F.lit(1)),
+        "last_lines": F.filter(F.transform(last, lambda x: F.trim(x)), lambda x: F.rlike(x, name_line)),
+    }
+
+    def labelled(names: Column, origin: str) -> Column:
+        return F.transform(
+            names,
+            lambda n: F.struct(
+                tx.strip(n).alias("display_name"),
+                F.lit(origin).alias("origin"),
+                F.lit(vocab.HARVEST_CONFIDENCE[origin]).alias("confidence"),
+            ),
+        )
+
+    parts = [labelled(names, origin) for origin, names in found.items()]
+    rows = docs.select("case_id", "ref", F.explode(F.concat(*parts)).alias("p")).select("case_id", "ref", "p.*")
+    best = F.max_by("origin", F.struct("confidence", "origin"))
+    return rows.filter("display_name <> ''").groupBy("case_id", "ref", "display_name").agg(
+        best.alias("origin"), F.max("confidence").alias("confidence")
+    )
+
+
 def signature_candidates(docs: DataFrame, people: DataFrame, reach: int = 250) -> DataFrame:
     """Phone labels and capitalised titles, tied to the nearest known person of the document.
 

@@ -171,6 +171,21 @@ def header_people(spark, d):
     return people.header_people(_mail(spark, d)).select("case_id", "ref", "header", "email", "display_name")
 
 
+@query(
+    "signature_people",
+    with_("docs")
+    + f"""select case_id, ref, 'Sam ' || w as display_name, 'anchored' as origin, 0.9::double as confidence from (select case_id, ref, regexp_extract(text, '{st.WORD}', 0) as w from docs) where w <> ''
+    union all select case_id, ref, 'Kim ' || w, 'last_lines', 0.5::double from (select case_id, ref, regexp_extract(text, '{st.WORD}', 0) as w from docs) where w <> ''
+    union all select case_id, ref, 'desk of ' || w, 'underscore', 0.4::double from (select case_id, ref, regexp_extract(text, '{st.WORD}', 0) as w from docs) where w <> ''""",
+)
+def signature_people(spark, d):
+    """Documents closed by a signature block made of their own first long word."""
+    w = F.regexp_extract("text", st.WORD, 0)
+    block = F.concat(F.lit("\n\nSigned by: Sam "), w, F.lit("\n______\ndesk of "), w, F.lit("\nKim "), w, F.lit("\nSam "), w)
+    docs = st.docs(spark, d).filter(w != "")
+    return people.signature_people(docs.withColumn("text", F.concat("text", block)))
+
+
 @query(
     "signature_candidates",
     with_("docs")

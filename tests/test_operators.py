@@ -198,6 +198,29 @@ def test_replies(spark):
     assert [r.t for r in notes.select(replies.leak_terms(F.col("n")).alias("t")).collect()] == [["a", "b c"], None, ["é"]]
 
 
+def test_error_objects_are_trimmed(spark):
+    bodies = ['{"code": "timeout", "message": "' + "m" * 600 + '", "raw": "secret"}', '{"code": 5}', '"text"', "[1]", "{bad", None]
+    got = [r.e for r in spark.createDataFrame([(b,) for b in bodies], "b string").select(replies.trim_error(F.col("b")).alias("e")).collect()]
+    assert got[0].code == "timeout" and len(got[0].message) == 400 and got[0].message.endswith("…")
+    assert tuple(got[1]) == ("5", None) and got[2:] == [None] * 4
+
+
+def test_signature_people(spark):
+    text = "Hello\nPrint Name: ____ Ann Lee\nx\n\n_______\nBob Ray\nThanks\nCarla Möller-Diaz\nbye now\nAnn Lee"
+    docs = spark.createDataFrame([("c", "d", text)], "case_id string, ref string, text string")
+    got = {r.display_name: (r.origin, r.confidence) for r in people.signature_people(docs).collect()}
+    assert got == {"Ann Lee": ("anchored", 0.9), "Bob Ray": ("last_lines", 0.5), "Carla Möller-Diaz": ("last_lines", 0.5)}
+
+
+def test_anonymised_text_keeps_the_subject(spark):
+    ents = [(0, 3, "Bob", "person", "m", "third_party", "redact"), (4, 7, "Eve", "person", "m", "data_subject", "preserve"), (8, 13, "a@b.c", "email", "r", "third_party", "redact"), (14, 17, "bob", "person", "m", "third_party", "flag")]
+    schema = "case_id string, ref string, entities array<struct<start:int,end:int,text:string,type:string,source:string,classification:string,redact:string>>"
+    docs = spark.createDataFrame([("c", "d", "Bob Eve a@b.c bob"), ("c", "e", "nothing")], "case_id string, ref string, text string")
+    labels = spark.createDataFrame([("c", "bob", "PERSON_C1")], "case_id string, name string, label string")
+    got = {r.ref: r.anonymised for r in redaction.anonymise(docs, spark.createDataFrame([("c", "d", ents)], schema), labels).collect()}
+    assert got == {"d": "[PERSON_C1] Eve [EMAIL] [PERSON_C1]", "e": "nothing"}
+
+
 def test_scorer_contract(spark):
     docs = spark.createDataFrame([("c", "a", "x"), ("c", "b", "y")], "case_id string, ref string, text string")
     with pytest.raises(Exception, match="empty vector"):
