@@ -170,22 +170,24 @@ def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
     Exact, without comparing everything with everything: trigrams are ordered from rare to
     common, and two sets that similar must share one of their first |x| - ceil(t^2 |x|) + 1
     rarest trigrams. Only those rare trigrams are joined on, sizes too far apart are dropped,
-    and every candidate is checked.
+    and every candidate is checked. Where `names` has a boolean column `wanted`, only pairs with a
+    wanted side are looked for.
     """
-    distinct = names.select("case_id", "name").filter("name <> ''").distinct()
+    wanted = F.bool_or("wanted") if "wanted" in names.columns else F.lit(True)
+    distinct = names.filter("name <> ''").groupBy("case_id", "name").agg(wanted.alias("wanted"))
     sets = distinct.withColumn("grams", spans.once(_grams(F.col("name"))))
     freq = sets.select("case_id", F.explode("grams").alias("g")).groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("df"))
     ordered = (
-        sets.select("case_id", "name", F.explode("grams").alias("g"))
+        sets.select("case_id", "name", "wanted", F.explode("grams").alias("g"))
         .join(freq, ["case_id", "g"], "inner")
-        .groupBy("case_id", "name")
+        .groupBy("case_id", "name", "wanted")
         .agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("o"))
         .withColumn("grams", spans.once(F.transform("o", lambda x: x["g"])))
         .withColumn("n", F.size("grams"))
     )
     keep = (F.col("n") - F.ceil(F.lit(threshold * threshold) * F.col("n")) + 1).cast("int")
     rare = ordered.select(
-        "case_id", "name", "n", "grams", F.posexplode(F.slice("grams", F.lit(1), keep)).alias("pos", "g")
+        "case_id", "name", "wanted", "n", "grams", F.posexplode(F.slice("grams", F.lit(1), keep)).alias("pos", "g")
     )
     # few bytes but much work per byte: ask for the full number of tasks, which is not coalesced
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -199,6 +201,7 @@ def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
         (F.col("a.case_id") == F.col("b.case_id"))
         & (F.col("a.g") == F.col("b.g"))
         & (F.col("a.name") < F.col("b.name"))
+        & (F.col("a.wanted") | F.col("b.wanted"))
         & (F.col("a.n") * threshold * threshold <= F.col("b.n"))
         & (F.col("b.n") * threshold * threshold <= F.col("a.n"))
         & (left >= threshold * F.sqrt(F.col("a.n") * F.col("b.n")) - 1e-9),
@@ -481,7 +484,8 @@ def denylist_hits(tokens: DataFrame, denylist: DataFrame, threshold: float = 0.8
     exact = rows.join(deny, ["case_id", "kind", "norm"], "left_semi").withColumn("match", F.lit("exact"))
     deny_names = deny.filter("kind = 'name'").select("case_id", F.col("norm").alias("name"))
     token_names = rows.filter("kind = 'name'").select("case_id", F.col("norm").alias("name")).distinct()
-    pairs = similar_names(deny_names.unionByName(token_names), threshold)
+    both = deny_names.withColumn("wanted", F.lit(True)).unionByName(token_names.withColumn("wanted", F.lit(False)))
+    pairs = similar_names(both, threshold)
     either = pairs.select("case_id", F.col("name_a").alias("norm"), F.col("name_b").alias("name")).unionByName(
         pairs.select("case_id", F.col("name_b").alias("norm"), F.col("name_a").alias("name"))
     )
