@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,20 +32,26 @@ def local_session(cores: str | int = 8, app: str = "caseweave") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in spark.checkpoint.dir.
 
-    Only where the session names none (tests, one-machine runs) is a temporary
-    folder made, and then remembered in the session.
+    Where the session names none, a run on one machine (tests, the benchmark) gets a temporary folder, which is
+    remembered in the session and deleted when Python ends. On a cluster that is an error: a local folder of the
+    driver would be another folder on each executor.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="caseweave-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder for one run."""
-    import uuid
+    """A fresh sub-folder of the shared folder for one run.
 
+    Results may be read for as long as the session lasts, so folders stay until then; a cluster's shared folder
+    is cleaned by whoever owns it (their names hold the operation and a random id).
+    """
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
