@@ -8,11 +8,13 @@ full shingle sets confirm it.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -108,20 +110,16 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
-    n = F.col("n_shingles")
+    sizes = sets.select("node", F.size("shingles").alias("n"))
     sized = (
-        pairs.join(sizes.select(F.col("node").alias("a"), n.alias("na")), "a")
-        .join(sizes.select(F.col("node").alias("b"), n.alias("nb")), "b")
+        pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+        .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
         .filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))  # else the sizes alone forbid it
-        .select("a", "b", "na", "nb")
+        .select("a", "b")
         .distinct()
     )
-    sized = cut_lineage(sized)
-    wanted = sized.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    sets = cut_lineage(shingle_sets(texts.join(wanted, "node", "left_semi"), "node", "text"))
     common = F.size(F.array_intersect("sa", "sb"))
     return (
         sized.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -131,6 +129,48 @@ def _confirmed(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, id_col: str,
     )
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets whose nodes are not all in one component yet, with their labels."""
+    named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    apart = named.groupBy("bucket").agg((F.min("label") < F.max("label")).alias("apart")).filter("apart")
+    return named.join(apart.select("bucket"), "bucket")
+
+
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """Buckets of the nodes that share one of their rarest shingles: bucket, node, n and short.
+
+    A set of n shingles that is linked to one of m shares at least t = percent / (100 + percent) * (n + m) with
+    it. So, in one order of all shingles (rarest first), both have a common shingle among their first n - t + 1
+    and m - t + 1. `short` marks shingles that come early enough for partners as large or larger; the others
+    serve for smaller partners, and stand in the buckets of the size classes for which they come early enough.
+    """
+    every = sets.select("node", F.explode("shingles").alias("s"))
+    counts = every.groupBy("s").agg(F.count(F.lit(1)).alias("df"))
+    ordered = every.join(counts, "s").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
+    n, p = F.col("n"), F.col("p")
+    least = F.ceil(n * percent / 100).cast("int")
+    kept = ordered.select("node", F.size("o").alias("n"), "o").select(
+        "node", "n", F.posexplode(F.slice("o", F.lit(1), n - least + 1)).alias("p", "o")
+    )
+    kept = kept.filter("o.df > 1").select("node", "n", "p", "o.s")
+    most = F.least(n, (F.floor((n - p) * (100 + percent) / percent) - n).cast("int"))
+    size_class = lambda size: F.floor(F.log(size.cast("double")) / math.log(1.02)).cast("int")
+    short = p <= n - F.ceil(2 * n * percent / (100 + percent))
+    classes = F.when(most >= least, F.sequence(size_class(least), size_class(most)))
+    early = kept.filter(short).select("s", size_class(n).alias("c"), "node", "n", F.lit(True).alias("short"))
+    late = kept.select("s", F.explode(classes).alias("c"), "node", "n", F.lit(False).alias("short"))
+    both = early.union(late).groupBy(F.xxhash64("s", "c").alias("bucket"), "node", "n")
+    return both.agg(F.max("short").alias("short"))
+
+
+def _apart(centres: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs of a centre and a member of its bucket that are in different components and may be linked."""
+    left = centres.select("bucket", *(F.col(c).alias(f"c_{c}") for c in ("node", "n", "short", "label")))
+    fits = (F.col("c_short") & (F.col("c_n") <= F.col("n"))) | (F.col("short") & (F.col("n") <= F.col("c_n")))
+    both = members.join(left, "bucket").filter((F.col("label") != F.col("c_label")) & fits)
+    return both.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -146,57 +186,55 @@ def near_duplicates(
     share an id are one document. A null id has no component and is kept. Ids must fit a long. An empty table
     gives an empty one; other columns are not read.
 
-    Equal sets are one node. In every bucket the centre (smallest node) is compared with all others, so a group
-    of m copies makes m - 1 pairs, not m * m. Then centres leave their buckets, and buckets whose remaining
-    members are not yet in one component go through further rounds, each with twice the centres, until none is
-    left: no two members of a bucket stay both uncompared and apart.
+    Equal sets are one node. In every band bucket the node that shares most buckets is the centre and is compared
+    with all others, so a group of m copies makes m - 1 pairs, not m * m. Where these others are then not yet in
+    one component, their nodes are dealt anew into buckets of their rarest shingles, which any two
+    linked sets share: copies far from a centre differ from each other in rare shingles and hardly ever meet.
+    Centres are compared as long as that finds links; then every node outside its bucket's largest component is
+    compared with all of its bucket that are not in its own, so no two nodes stay both uncompared and apart.
     """
     sketched = cut_lineage(sketch(docs, id_col, text_col, bands, rows))
     known = sketched.filter("node is not null and n_shingles > 0")
-    sets = known.groupBy("digest").agg(
-        F.min("node").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")
+    nodes = known.groupBy("digest").agg(F.min("node").alias("rep"), F.first("bands").alias("bands"))
+    nodes = cut_lineage(nodes)
+    exploded = nodes.select(F.explode("bands").alias("bucket"), F.col("rep").alias("node")).distinct()
+    shared = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = cut_lineage(exploded.join(shared, "bucket"))
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
+    sets = cut_lineage(
+        shingle_sets(texts.join(weights.select("node"), "node", "left_semi"), "node", "text").distinct()
     )
-    sets = cut_lineage(sets)
-    sizes = sets.select(F.col("rep").alias("node"), "n_shingles")
-    exploded = sets.select(F.explode("bands").alias("band"), F.col("rep").alias("node")).distinct()
-    shared = exploded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
-    members = cut_lineage(exploded.join(shared, "band"))
+    centre = F.max_by("node", F.struct("weight", -F.col("node")))
+    chosen = members.join(weights, "node").groupBy("bucket").agg(centre.alias("centre"))
+    others = cut_lineage(members.join(chosen, "bucket").filter("node <> centre").select("bucket", "node", "centre"))
+    pairs = others.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     # rows of one id with different texts are one document
-    links = known.join(sets.select("digest", "rep"), "digest").filter("node <> rep").select(
+    same = known.join(nodes.select("digest", "rep"), "digest").filter("node <> rep").select(
         F.col("node").alias("a"), F.col("rep").alias("b")
     )
-    links = cut_lineage(links.distinct())
-    labels = None
-    centres = 1
-    while members.limit(1).count():
-        if centres == 1:
-            chosen = members.groupBy("band").agg(F.min("node").alias("centre"))
+    links = cut_lineage(same.distinct().union(_confirmed(pairs, sets, percent)))
+    labels = components(links)
+    left = _open(others.select("bucket", "node"), labels).select("node").distinct()
+    members = cut_lineage(_rarest(sets.join(left, "node", "left_semi"), percent))
+    for turn in itertools.count():
+        left = cut_lineage(_open(members, labels))
+        if not left.limit(1).count():
+            break
+        if last := turn > 0 and not merged:
+            sizes = left.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
+            largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("largest"))
+            centres = left.join(largest, "bucket").filter("label <> largest")
         else:
-            order = Window.partitionBy("band").orderBy("node")
-            chosen = members.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= centres)
-            chosen = chosen.select("band", F.col("node").alias("centre"))
-        chosen = cut_lineage(chosen)
-        pairs = members.join(chosen, "band").filter("node <> centre")
-        pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        if labels is not None:
-            pairs = (
-                pairs.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a", "left")
-                .join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b", "left")
-                .filter(F.coalesce("la", "a") != F.coalesce("lb", "b"))
-                .select("a", "b")
-            )
-        found = _confirmed(pairs, sizes, docs, id_col, text_col, percent)
-        links = cut_lineage(links.union(found))
-        labels = components(links)
-        rest = members.join(
-            chosen.withColumnRenamed("centre", "node"), ["band", "node"], "left_anti"
-        )
-        named = rest.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-        apart = named.groupBy("band").agg((F.min("label") < F.max("label")).alias("apart")).filter("apart")
-        members = cut_lineage(rest.join(apart.select("band"), "band"))
-        centres *= 2
-    if labels is None:
-        labels = components(links)
+            one = left.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("node"))
+            centres = left.join(one, ["bucket", "node"])
+        found = cut_lineage(_confirmed(_apart(centres, left), sets, percent))
+        merged = bool(found.limit(1).count())
+        if merged:
+            links = cut_lineage(links.union(found))
+            labels = components(links)
+        if last:
+            break
     component = F.coalesce("label", "node")
     return (
         sketched.join(labels, "node", "left")
