@@ -22,7 +22,7 @@ ASSIGN = (
     + either_case("api") + "_?" + either_case("key") + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
 ACCESS = "AKIA[A-Z0-9]+"
-HEX = "[0-9a-f]+"
+HEX = "[0-9a-f]{24,}"  # the runs of [0-9a-f]+ that are long enough
 #: kind: pattern, group and least length of it
 BASE = {"assign": (ASSIGN, 2, 6), "access": (ACCESS, 0, 20), "hex": (HEX, 0, 24)}
 CLIENT = (
@@ -30,13 +30,11 @@ CLIENT = (
     + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]+)"""
 )
 ENDPOINT = r"[a-z][a-z0-9+]*://[A-Za-z0-9._~:/?#@!$&()*+,;=%-]+"
-OPAQUE = "[A-Za-z0-9+/_-]+"
+OPAQUE = "[A-Za-z0-9+/_-]{16,}"
 WEAK = {"client": (CLIENT, 2, 3), "endpoint": (ENDPOINT, 0, 10), "opaque": (OPAQUE, 0, 16)}
 KINDS = [*BASE, *WEAK]
 SCOPE_END = r"\n[\x20\t]*\n"
 REACH = 400  # code points between two parts
-#: A run can only be long enough if it holds so many characters in a row: rows without are not cut up.
-_HINTS = {"hex": "[0-9a-f]{24}", "opaque": "[A-Za-z0-9+/_-]{16}", "access": "AKIA"}
 
 
 def _cut(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -79,7 +77,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def cut(kind: str, pattern: str, group: int, least: int) -> Column:
         # a pattern is first asked whether it occurs at all
-        return F.when(F.col("t").rlike(_HINTS.get(kind, pattern)), _cut(F.col("t"), kind, pattern, group, least)).otherwise(
+        return F.when(F.col("t").rlike(pattern), _cut(F.col("t"), kind, pattern, group, least)).otherwise(
             F.expr(none)
         )
 
