@@ -89,6 +89,9 @@ def dedupe_summary(findings: DataFrame) -> DataFrame:
 
 
 def refs_by_hash(findings: DataFrame, register: DataFrame) -> DataFrame:
-    """Findings keyed by content hash, translated to refs (the last ref of a hash, as registered)."""
-    ref_of = register.filter("hash <> '' and ref <> ''").groupBy("case_id", "hash").agg(F.max("ref").alias("ref"))
+    """Findings keyed by content hash, translated to refs (the last ref of a hash, as registered).
+
+    register: case_id, hash, ref and seq, the order of registration.
+    """
+    ref_of = register.filter("hash <> '' and ref <> ''").groupBy("case_id", "hash").agg(F.max_by("ref", "seq").alias("ref"))
     return findings.withColumnRenamed("doc_ref", "hash").join(ref_of, ["case_id", "hash"], "inner").drop("hash")

@@ -9,41 +9,36 @@ from ..functions import hashing, vocab
 from ..session import cut_lineage
 from .ordered import linked
 
-FLAT_LIMIT = 100_000
+def listing_hash(df: DataFrame, keys: list[str], label: str, digest: str) -> DataFrame:
+    """Digest over the one sorted listing of (label, digest) pairs of a group, as the reference writes it.
 
-
-def set_hash(df: DataFrame, keys: list[str], label: str, digest: str, flat_limit: int = FLAT_LIMIT) -> DataFrame:
-    """Order-independent digest of (label, digest) pairs per group.
-
-    Up to `flat_limit` members the digest is taken over the one sorted listing. A larger group is
-    hashed as a tree, on prefixes of the label's own digest, deep enough that no node lists more
-    than about `flat_limit` members, so no task sees more than that. `levels` tells which form.
+    A group is listed in one task: for groups that fit one. set_hash has no such bound.
     """
     rows = df.select(*keys, F.col(label).cast("string").alias("label"), F.col(digest).alias("digest"))
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_members"))
-    depth = (
-        F.when(F.col("n_members") <= flat_limit, 0)
-        .when(F.col("n_members") <= flat_limit * 4096, 3)
-        .otherwise(6)
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_members"),
+        hashing.pairs_digest(F.collect_list(F.struct("label", "digest"))).alias("set_hash"),
     )
-    placed = rows.join(sizes.withColumn("depth", depth), keys, "inner").withColumn(
-        "path", F.when(F.col("depth") == 0, "").otherwise(F.expr("substring(sha2(label, 256), 1, depth)"))
-    )
-    nodes = placed.groupBy(*keys, "path").agg(
-        hashing.pairs_digest(F.collect_list(F.struct("label", "digest"))).alias("digest"),
-        F.max("n_members").alias("n_members"),
-        F.max("depth").alias("depth"),
+
+
+def set_hash(df: DataFrame, keys: list[str], label: str, digest: str) -> DataFrame:
+    """Order-independent digest of (label, digest) pairs per group: a hash tree of one fixed form.
+
+    Leaves are the listings of pairs whose label's own digest begins with the same six hex characters; three
+    characters name their parents, and the root lists those. The form never depends on the size of a group, and
+    no task lists more than one leaf or 4,096 children.
+    """
+    label_of = F.col(label).cast("string")
+    nodes = df.select(
+        *keys, F.substring(F.sha2(label_of, 256), 1, 6).alias("path"), label_of.alias("label"), F.col(digest).alias("digest"),
+        F.lit(1).cast("bigint").alias("n"),
     )
-    for length in (3, 0):
-        deeper = F.max(F.char_length("path")) > length
+    for length in (6, 3, 0):
         nodes = nodes.groupBy(*keys, F.substring("path", 1, length).alias("up")).agg(
-            F.when(deeper, hashing.pairs_digest(F.collect_list(F.struct(F.col("path").alias("label"), "digest"))))
-            .otherwise(F.max("digest"))
-            .alias("digest"),
-            F.max("n_members").alias("n_members"),
-            F.max("depth").alias("depth"),
-        ).withColumnRenamed("up", "path")
-    return nodes.select(*keys, "n_members", (F.col("depth") / 3).cast("int").alias("levels"), F.col("digest").alias("set_hash"))
+            hashing.pairs_digest(F.collect_list(F.struct("label", "digest"))).alias("digest"), F.sum("n").alias("n")
+        )
+        nodes = nodes.withColumn("label", F.col("up")).withColumnRenamed("up", "path")
+    return nodes.select(*keys, F.col("n").alias("n_members"), F.col("digest").alias("set_hash"))
 
 
 def upstream_check(manifests: DataFrame, current: DataFrame) -> DataFrame:
@@ -87,52 +82,40 @@ def resume_plan(freshness: DataFrame, cases: DataFrame, unregistered_stale: bool
 # ---- audit chain -----------------------------------------------------------
 
 
-def emit_chain(events: DataFrame, segment: int = 1_000, seq: str = "seq") -> DataFrame:
-    """Hash-chained events: each hash covers the payload and the hash before it.
+def record_hash(seq: str = "seq") -> Column:
+    """Hash of an event's record: its place and its body."""
+    return hashing.json_digest(body=F.col("body"), seq=F.col(seq).cast("bigint"))
 
-    Chaining is sequential by nature. Events are chained inside segments of `segment` ordinals, in
-    parallel, and the segment seals are chained by `seal_links`; no task holds more than a segment.
-    The first event of a segment has no predecessor. events: case_id, seq, body.
-    """
-    rows = events.withColumn("segment", F.floor(F.col(seq) / F.lit(segment)))
-    listed = rows.groupBy("case_id", "segment").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), "body"))).alias("events")
-    )
-    item = "struct<seq:bigint,prev_hash:string,event_hash:string>"
-
-    def step(acc: Column, e: Column) -> Column:
-        h = hashing.digest(F.concat(F.coalesce(acc["prev"], F.lit("")), e["body"]))
-        return F.struct(
-            h.alias("prev"),
-            F.array_append(
-                acc["out"],
-                F.struct(e["seq"].cast("bigint").alias("seq"), acc["prev"].alias("prev_hash"), h.alias("event_hash")),
-            ).alias("out"),
-        )
 
-    seed = F.struct(F.lit(None).cast("string").alias("prev"), F.expr(f"cast(array() as array<{item}>)").alias("out"))
-    return listed.select(
-        "case_id", "segment", F.inline(F.aggregate("events", seed, step, lambda a: a["out"]))
-    )
+def emit_chain(events: DataFrame, seq: str = "seq", width: int = 100_000) -> DataFrame:
+    """Events with event_hash, the hash of their record, and prev_hash, that of the event before them.
+
+    One rule for all events of a case but the first, whose prev_hash is null. The predecessor comes from a
+    bucketed lag, so a case of any size is chained in parallel. events: case_id, seq, body and any others.
+    """
+    rows = linked(events.withColumn("event_hash", record_hash(seq)), ["case_id"], seq, ["event_hash"], width)
+    return rows.withColumnRenamed("prev_event_hash", "prev_hash")
 
 
-def seal_links(chain: DataFrame) -> DataFrame:
-    """Seal of each segment (its last event's hash), and per case the digest over its seals in order."""
-    seals = chain.groupBy("case_id", "segment").agg(F.max_by("event_hash", "seq").alias("seal"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("segment", "seal"))), lambda s: s["seal"])
-    folded = F.aggregate(ordered, F.lit(""), lambda acc, s: hashing.digest(F.concat(acc, s)))
-    return seals.groupBy("case_id").agg(F.count(F.lit(1)).alias("segments"), folded.alias("head"))
+def chain_heads(chain: DataFrame) -> DataFrame:
+    """Per case the number of events and one digest over all of them: the root of a tree over their hashes."""
+    return set_hash(chain, ["case_id"], "seq", "event_hash").select(
+        "case_id", F.col("n_members").alias("events"), F.col("set_hash").alias("head")
+    )
 
 
 def verify_chain(events: DataFrame, seq: str = "seq", width: int = 100_000) -> DataFrame:
-    """Each event with whether its prev_hash is the hash of the event before it.
+    """Each event with its status: genesis, ok, altered, broken or missing_predecessor.
 
-    The predecessor comes from a bucketed lag, so a case of any size is checked in parallel.
+    Every record is hashed anew. `altered`: the record is not the one its own event_hash was made of. `broken`:
+    prev_hash is not the stored hash of the event that now stands before it (one is missing or was put in). So
+    a changed body shows where it is, and a dropped event at the one behind it.
     """
     rows = linked(events, ["case_id"], seq, ["event_hash"], width)
     first = F.col("prev_event_hash").isNull()
     status = (
-        F.when(first & F.col("prev_hash").isNull(), "genesis")
+        F.when(~F.col("event_hash").eqNullSafe(record_hash(seq)), "altered")
+        .when(first & F.col("prev_hash").isNull(), "genesis")
         .when(first, "missing_predecessor")
         .when(F.col("prev_hash").eqNullSafe(F.col("prev_event_hash")), "ok")
         .otherwise("broken")
@@ -142,7 +125,7 @@ def verify_chain(events: DataFrame, seq: str = "seq", width: int = 100_000) -> D
 
 def chain_summary(verified: DataFrame) -> DataFrame:
     """Per case: events, breaks, first break, intact or not."""
-    bad = F.col("status").isin("broken", "missing_predecessor")
+    bad = F.col("status").isin("altered", "broken", "missing_predecessor")
     return verified.groupBy("case_id").agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(bad).alias("breaks"),

@@ -278,6 +278,8 @@ def recheck_gate(
     `requests`: request_id, mode (always / never / auto), deployment_id, model_alias,
     primary_seal, recheck_seal. `registry`: the calibration entries. Only a fresh entry for the
     same prompts whose upper bound is at or under the threshold lets the recheck be skipped.
+    Entries are matched on deployment, model and both seals; ties go to the newest, then the largest
+    sample. Only if none matches all four does an entry for other prompts count as drift.
     """
     rank = F.struct("calibrated_at", "sample_size", F.coalesce("source_case_id", F.lit("")))
     entry = F.struct("calibrated_at", "entry_primary_seal", "entry_recheck_seal", "ci_lower", "ci_upper", "sample_size")
@@ -290,15 +292,21 @@ def recheck_gate(
                 "entry_recheck_seal": F.lower(F.trim("recheck_seal")),
             }
         )
-        .groupBy("deployment_id", "model_alias")
-        .agg(F.max_by(entry, rank).alias("e"))
     )
-    rows = requests.join(valid, ["deployment_id", "model_alias"], "left")
-    age = (F.unix_micros(asof) - F.unix_micros(F.col("e.calibrated_at"))) / F.lit(86_400e6)
-    drift = ~(
-        F.col("e.entry_primary_seal").eqNullSafe(F.lower(F.trim("primary_seal")))
-        & F.col("e.entry_recheck_seal").eqNullSafe(F.lower(F.trim("recheck_seal")))
+    seals = ["entry_primary_seal", "entry_recheck_seal"]
+    exact = valid.groupBy("deployment_id", "model_alias", *seals).agg(F.max_by(entry, rank).alias("exact"))
+    other = valid.groupBy("deployment_id", "model_alias").agg(F.max_by(entry, rank).alias("other"))
+    asked = requests.withColumns({s: F.lower(F.trim(s.removeprefix("entry_"))) for s in seals})
+    same = F.lit(True)
+    for name in ("deployment_id", "model_alias", *seals):
+        same = same & F.col(f"q.{name}").eqNullSafe(F.col(f"x.{name}"))
+    rows = (
+        asked.alias("q").join(exact.alias("x"), same, "left").select("q.*", "exact")
+        .join(other, ["deployment_id", "model_alias"], "left")
+        .withColumn("e", F.coalesce("exact", "other"))
     )
+    age = (F.unix_micros(asof) - F.unix_micros(F.col("e.calibrated_at"))) / F.lit(86_400e6)
+    drift = F.col("exact").isNull()
     reason = (
         F.when(F.col("mode").isin("always", "never"), "mode_set_explicit")
         .when(F.col("e").isNull(), "calibration_cache_miss")

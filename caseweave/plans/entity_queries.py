@@ -331,13 +331,13 @@ def findings_by_ref(spark, d):
 DEDUPE = with_("ldocs") + (
     ", f as (select case_id, ref, text, basis as dedupe_basis, case when ref = min(ref) over w then 'canonical' else 'duplicate' end as dedupe_verdict, "
     "case when ref = min(ref) over w then count(*) over w else 0 end as copies from (select *, case when lang = 'en' then 'message_id' else 'sha256' end as basis, "
-    "case when lang = 'en' then sha256(text[1:200]) else sha256(text) end as k from ldocs) window w as (partition by case_id, basis, k)) "
+    "sha256(text) as k from ldocs) window w as (partition by case_id, basis, k)) "
 )
 
 
 def _findings(spark, d):
     docs = st.docs(spark, d, "lang")
-    hashed = docs.select("case_id", "ref", F.sha2("text", 256).alias("hash"), F.when(F.col("lang") == "en", F.sha2(F.substring("text", 1, 200), 256)).alias("message_id"))
+    hashed = docs.select("case_id", "ref", F.sha2("text", 256).alias("hash"), F.when(F.col("lang") == "en", F.sha2("text", 256)).alias("message_id"))
     return dedupe.mark_duplicates(hashed, F.col("message_id"))
 
 
@@ -377,11 +377,11 @@ def canonical_documents(spark, d):
 
 @query(
     "hash_to_ref",
-    with_("ldocs") + "select distinct case_id, max(ref) over (partition by case_id, sha256(text)) as ref, 'canonical' as dedupe_verdict from ldocs",
+    with_("ldocs") + "select case_id, arg_max(ref, doc_id) as ref, 'canonical' as dedupe_verdict from ldocs group by case_id, sha256(text)",
 )
 def hash_to_ref(spark, d):
     """Findings keyed by content hash, translated to refs."""
-    reg = st.docs(spark, d, "lang").select("case_id", "ref", F.sha2("text", 256).alias("hash"))
+    reg = st.docs(spark, d, "lang").select("case_id", "ref", F.sha2("text", 256).alias("hash"), F.col("doc_id").alias("seq"))
     findings = reg.select("case_id", F.col("hash").alias("doc_ref")).distinct().withColumn("dedupe_verdict", F.lit("canonical"))
     return dedupe.refs_by_hash(findings, reg).select("case_id", "ref", "dedupe_verdict")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing, stats, vocab
@@ -411,28 +412,33 @@ def fitness_lookup(spark, d):
 PAIR = "string_agg(ref || chr(31) || sha256(text) || chr(30), '' order by ref)"
 
 
-@query("set_hash", with_("docs") + f"select case_id, count(*) as n_members, cast(0 as int) as levels, sha256({PAIR}) as set_hash from docs group by 1")
+def _tree(rows: str, label: str, digest: str) -> str:
+    """CTEs leaf, node and tree: the fixed-depth digest of (case_id, label, digest) rows."""
+    return f""", leaf as (select case_id, sha256({label})[1:6] as p, count(*) as n, sha256(string_agg({label} || chr(31) || {digest} || chr(30), '' order by {label})) as h from {rows} group by 1, 2),
+    node as (select case_id, p[1:3] as p, sum(n) as n, sha256(string_agg(p || chr(31) || h || chr(30), '' order by p)) as h from leaf group by 1, 2),
+    tree as (select case_id, cast(sum(n) as bigint) as n_members, sha256(string_agg(p || chr(31) || h || chr(30), '' order by p)) as set_hash from node group by 1)
+    """
+
+
+@query("set_hash", with_("docs") + f"select case_id, count(*) as n_members, sha256({PAIR}) as set_hash from docs group by 1")
 def set_hash(spark, d):
-    return integrity.set_hash(st.register(spark, d).select("case_id", "ref", "hash"), ["case_id"], "ref", "hash")
+    """The listing digest, as the reference writes it."""
+    return integrity.listing_hash(st.register(spark, d).select("case_id", "ref", "hash"), ["case_id"], "ref", "hash")
 
 
-@query(
-    "set_hash_tree",
-    with_("docs")
-    + """, n as (select case_id, sha256(ref)[1:3] as p, sha256(string_agg(ref || chr(31) || sha256(text) || chr(30), '' order by ref)) as h, count(*) as c from docs group by 1, 2)
-    select case_id, cast(sum(c) as bigint) as n_members, cast(1 as int) as levels, sha256(string_agg(p || chr(31) || h || chr(30), '' order by p)) as set_hash from n group by 1""",
-)
+@query("set_hash_tree", with_("docs") + _tree("docs", "ref", "sha256(text)") + "select * from tree")
 def set_hash_tree(spark, d):
-    """The same digest with the tree form forced, as cases beyond the listing limit get it."""
-    return integrity.set_hash(st.register(spark, d).select("case_id", "ref", "hash"), ["case_id"], "ref", "hash", flat_limit=1)
+    """The digest of one form at every size."""
+    return integrity.set_hash(st.register(spark, d).select("case_id", "ref", "hash"), ["case_id"], "ref", "hash")
 
 
 @query(
     "stage_hashes",
-    with_("docs") + f"select case_id, sha256(sha256({PAIR}) || chr(31) || 'scope ' || case_id || chr(31) || 'thr=0.3' || chr(31) || 'mode=shadow') as upstream_hash from docs group by 1",
+    with_("docs") + _tree("docs", "ref", "sha256(text)")
+    + "select case_id, sha256(set_hash || chr(31) || 'scope ' || case_id || chr(31) || 'thr=0.3' || chr(31) || 'mode=shadow') as upstream_hash from tree",
 )
 def stage_hashes(spark, d):
-    base = set_hash(spark, d)
+    base = set_hash_tree(spark, d)
     return base.select(
         "case_id",
         hashing.params_digest(F.col("set_hash"), F.concat(F.lit("scope "), "case_id"), F.lit("thr=0.3"), F.lit("mode=shadow")).alias("upstream_hash"),
@@ -441,7 +447,7 @@ def stage_hashes(spark, d):
 
 def _freshness(spark, d):
     """Recorded against current digests for two stages; cases past src4 have stale embeddings."""
-    digests = cut_lineage(set_hash(spark, d))
+    digests = cut_lineage(set_hash_tree(spark, d))
     current = digests.select("case_id", F.explode(F.array(F.lit("ingest"), F.lit("embed"))).alias("stage"), F.col("set_hash").alias("upstream_hash"))
     recorded = digests.select(
         "case_id", F.explode(F.array(F.lit("ingest"), F.lit("embed"))).alias("stage"), F.lit(True).alias("present"), F.lit(1).alias("n_rows"), "set_hash"
@@ -472,35 +478,45 @@ def resume_plan(spark, d):
     return integrity.resume_plan(_freshness(spark, d), cases).drop("stale")
 
 
+RECORD = """, rec as (select *, sha256('{"body":' || to_json(body) || ',"seq":' || seq || '}') as h from audit)"""
+
+
 @query(
     "chain_emit",
-    with_("audit")
-    + """, s as (select case_id, seq // 2000 as segment, list(body order by seq) as l from audit group by 1, 2), h as (select case_id, segment, list_reduce(list_prepend('', l), lambda acc, x: sha256(acc || x)) as seal from s),
-    c as (select case_id, list(seal order by segment) as seals from h group by 1) select case_id, len(seals) as segments, list_reduce(list_prepend('', seals), lambda acc, x: sha256(acc || x)) as head from c""",
+    with_("audit") + RECORD + _tree("rec", "cast(seq as varchar)", "h") + "select case_id, n_members as events, set_hash as head from tree",
 )
 def chain_emit(spark, d):
-    return integrity.seal_links(integrity.emit_chain(st.audit_events(spark, d), 2000))
-
-
-def _chain(spark, d):
-    """Events with the hash of the event before them recorded; then the error events are lost."""
-    from ..operators.ordered import linked
-
-    e = st.audit_events(spark, d).withColumn("event_hash", hashing.digest(F.col("body")))
-    full = linked(e, ["case_id"], "seq", ["event_hash"], 1000).withColumnRenamed("prev_event_hash", "prev_hash")
-    return full.filter("event_type <> 'error'")
+    return integrity.chain_heads(integrity.emit_chain(st.audit_events(spark, d), width=1000))
 
 
 @query(
     "chain_verify",
-    with_("audit")
-    + """, e as (select *, sha256(body) as h, lag(sha256(body)) over (partition by case_id order by seq) as p from audit), k as (select *, lag(h) over (partition by case_id order by seq) as q from e where event_type <> 'error'),
+    with_("audit") + RECORD
+    + """, e as (select *, lag(h) over (partition by case_id order by seq) as p from rec), k as (select *, lag(h) over (partition by case_id order by seq) as q from e where event_type <> 'error'),
     s as (select case_id, seq, case when q is null and p is null then 'genesis' when q is null then 'missing_predecessor' when p = q then 'ok' else 'broken' end as status from k)
     select case_id, count(*) as events, count(*) filter (where status in ('broken', 'missing_predecessor')) as breaks, min(seq) filter (where status in ('broken', 'missing_predecessor')) as first_break,
     bool_and(status in ('ok', 'genesis')) as intact from s group by 1""",
 )
 def chain_verify(spark, d):
-    return integrity.chain_summary(integrity.verify_chain(_chain(spark, d), width=1000))
+    """An emitted chain whose error events are then lost."""
+    chain = integrity.emit_chain(st.audit_events(spark, d), width=1000).filter("event_type <> 'error'")
+    return integrity.chain_summary(integrity.verify_chain(chain, width=1000))
+
+
+@query(
+    "chain_tamper",
+    with_("audit")
+    + """, o as (select case_id, seq, row_number() over (partition by case_id order by seq) as i, count(*) over (partition by case_id) as n from audit)
+    select case_id, seq, case i when 2 then 'altered' else 'broken' end as status from o where n >= 6 and i in (2, 5)""",
+)
+def chain_tamper(spark, d):
+    """In each case of six events or more the body of the second is changed and the fourth is dropped: exactly
+    the second and the one behind the fourth are reported."""
+    chain = cut_lineage(integrity.emit_chain(st.audit_events(spark, d), width=1000))
+    order = Window.partitionBy("case_id").orderBy("seq")
+    at = chain.withColumns({"i": F.row_number().over(order), "n": F.count(F.lit(1)).over(Window.partitionBy("case_id"))})
+    changed = at.filter("n >= 6 and i <> 4").withColumn("body", F.when(F.col("i") == 2, F.concat("body", F.lit("!"))).otherwise(F.col("body")))
+    return integrity.verify_chain(changed, width=1000).filter("status not in ('ok', 'genesis')").select("case_id", "seq", "status")
 
 
 @query(
@@ -532,8 +548,9 @@ def chain_log_orphans(spark, d):
     "corpus_seal",
     with_("docs")
     + """, l as (select d.case_id, d.ref, sha256('{"content":"' || sha256(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10))) || '","label":"' || coalesce('q' || quality, '') || '"}') as line, quality
-    from docs d left join labels using (doc_id)) select case_id, count(*) as n_members, count(*) filter (where quality is null) as unlabelled,
-    case when count(*) filter (where quality is null) = 0 then sha256(string_agg(ref || chr(31) || line || chr(30), '' order by ref)) end as seal from l group by 1""",
+    from docs d left join labels using (doc_id))""" + _tree("l", "ref", "line")
+    + """, u as (select case_id, count(*) filter (where quality is null) as unlabelled from l group by 1)
+    select case_id, n_members, unlabelled, case when unlabelled = 0 then set_hash end as seal from tree join u using (case_id)""",
 )
 def corpus_seal(spark, d):
     lab = st.table(spark, d, "labels").select(F.concat(F.lit("doc-"), "doc_id").alias("ref"), F.concat(F.lit("q"), "quality").alias("label"))

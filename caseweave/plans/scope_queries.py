@@ -74,7 +74,7 @@ def _overlap():
 
 
 RERANK = with_("docs") + (
-    ", q as (select case_id, min(text[1:300]) as scope_text from docs group by 1), "
+    ", q as (select case_id, min(text) as scope_text from docs group by 1), "
     "s as (select case_id, ref, len(list_intersect(list_distinct(string_split(text, ' ')), list_distinct(string_split(scope_text, ' '))))::double / "
     "len(list_distinct(string_split(scope_text, ' '))) as score from docs join q using (case_id)) "
 )
@@ -86,7 +86,7 @@ RERANK = with_("docs") + (
 )
 def rerank_shadow(spark, d):
     docs = st.docs(spark, d)
-    scopes = docs.groupBy("case_id").agg(F.min(F.substring("text", 1, 300)).alias("scope_text"))
+    scopes = docs.groupBy("case_id").agg(F.min("text").alias("scope_text"))
     scored = scorers.rerank_scores(docs.join(scopes, "case_id"), _overlap)
     return scope.rerank(scored, 0.1).withColumn("rerank_score", F.round("rerank_score", 6))
 
@@ -94,7 +94,7 @@ def rerank_shadow(spark, d):
 @query("rerank_enforce", RERANK + "select case_id, ref from s where score >= 0.1")
 def rerank_enforce(spark, d):
     docs = st.docs(spark, d)
-    scopes = docs.groupBy("case_id").agg(F.min(F.substring("text", 1, 300)).alias("scope_text"))
+    scopes = docs.groupBy("case_id").agg(F.min("text").alias("scope_text"))
     scored = scorers.rerank_scores(docs.join(scopes, "case_id"), _overlap)
     return scope.rerank(scored, 0.1, "enforce").select("case_id", "ref")
 

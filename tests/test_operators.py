@@ -177,7 +177,8 @@ def test_recheck_gate_reasons(spark):
          ("d3", "m", "zz", "r", t("2024-06-01"), 10, "s", 0.0, 0.0, 0.05), ("d4", "m", "ab", "r", t("2024-06-01"), 10, "s", 0.1, 0.0, 0.11)],
         "deployment_id string, model_alias string, primary_seal string, recheck_seal string, calibrated_at timestamp, sample_size int, source_case_id string, fn_rate double, ci_lower double, ci_upper double",
     )
-    got = {r.request_id: (r.mode_effective, r.reason) for r in scope.recheck_gate(req, reg, asof()).collect()}
+    newer = spark.createDataFrame([("d1", "m", "other", "r", t("2024-06-25"), 10, "s", 0.05, 0.0, 0.10)], reg.schema)
+    got = {r.request_id: (r.mode_effective, r.reason) for r in scope.recheck_gate(req, reg.union(newer), asof()).collect()}
     assert got == {
         "a": ("always", "mode_set_explicit"), "n": ("never", "mode_set_explicit"), "miss": ("always", "calibration_cache_miss"),
         "old": ("always", "calibration_stale"), "drift": ("always", "calibration_prompt_seal_drift"),
@@ -567,36 +568,40 @@ def flat_hash(pairs):
     return h.hexdigest()
 
 
-def test_set_hash_forms(spark):
-    pairs = [(f"f{i}é", hashlib.sha256(str(i).encode()).hexdigest()) for i in range(300)]
-    df = spark.createDataFrame([("c", *p) for p in pairs], "case_id string, ref string, hash string")
-    assert integrity.set_hash(df.repartition(6), ["case_id"], "ref", "hash").first().set_hash == flat_hash(pairs)
-    tree = integrity.set_hash(df, ["case_id"], "ref", "hash", flat_limit=10).first()
-    nodes = {}
+def tree_hash(pairs):
+    leaves, nodes = {}, {}
     for label, sub in pairs:
-        nodes.setdefault(hashlib.sha256(label.encode()).hexdigest()[:3], []).append((label, sub))
-    assert tree.set_hash == flat_hash([(p, flat_hash(v)) for p, v in nodes.items()]) and tree.levels == 1
-    assert tree.set_hash == integrity.set_hash(df.repartition(3), ["case_id"], "ref", "hash", flat_limit=10).first().set_hash
-    deep = df.unionByName(spark.range(5000).select(F.lit("c").alias("case_id"), F.concat(F.lit("g"), "id").alias("ref"), F.sha2(F.col("id").cast("string"), 256).alias("hash")))
-    assert integrity.set_hash(deep, ["case_id"], "ref", "hash", flat_limit=1).first().levels == 2
+        leaves.setdefault(hashlib.sha256(label.encode()).hexdigest()[:6], []).append((label, sub))
+    for path, own in leaves.items():
+        nodes.setdefault(path[:3], []).append((path, flat_hash(own)))
+    return flat_hash([(path, flat_hash(own)) for path, own in nodes.items()])
+
+
+def test_set_hash_has_one_form_at_every_size(spark):
+    pairs = [(f"f{i}é", hashlib.sha256(str(i).encode()).hexdigest()) for i in range(9000)]
+    df = spark.createDataFrame([("c", *p) for p in pairs], "case_id string, ref string, hash string")
+    for n in (1, 2, 300, 9000):
+        part = df.limit(n).repartition(6)
+        own = [(r.ref, r.hash) for r in part.collect()]
+        assert integrity.set_hash(part, ["case_id"], "ref", "hash").first() == ("c", n, tree_hash(own))
+        assert integrity.listing_hash(part, ["case_id"], "ref", "hash").first() == ("c", n, flat_hash(own))
 
 
 def test_chain_emission_and_tampering(spark):
     ev = spark.createDataFrame([("c", i, f"b{i}") for i in range(1, 25)], "case_id string, seq int, body string")
-    chain = integrity.emit_chain(ev, segment=10)
-    want, prev = {}, None
-    for i in range(1, 25):
-        prev = None if i % 10 == 0 else prev
-        h = hashlib.sha256(((prev or "") + f"b{i}").encode()).hexdigest()
-        want[i] = (prev, h)
-        prev = h
-    assert {r.seq: (r.prev_hash, r.event_hash) for r in chain.collect()} == want
-    one = integrity.emit_chain(ev, segment=1000)
-    ok = integrity.chain_summary(integrity.verify_chain(one, width=7)).first()
-    assert ok.intact and ok.events == 24
-    cut = integrity.chain_summary(integrity.verify_chain(one.filter("seq <> 13"), width=7)).first()
+    chain = integrity.emit_chain(ev, width=5)
+    record = {i: hashlib.sha256(f'{{"body":"b{i}","seq":{i}}}'.encode()).hexdigest() for i in range(1, 25)}
+    assert {r.seq: (r.prev_hash, r.event_hash) for r in chain.collect()} == {i: (record.get(i - 1), record[i]) for i in range(1, 25)}
+    assert integrity.chain_heads(chain).first() == ("c", 24, tree_hash([(str(i), h) for i, h in record.items()]))
+    bad = lambda df: [(r.seq, r.status) for r in integrity.verify_chain(df, width=7).orderBy("seq").collect() if r.status not in ("ok", "genesis")]
+    assert bad(chain) == []
+    assert bad(chain.filter("seq <> 13")) == [(14, "broken")]
+    assert bad(chain.filter("seq <> 1")) == [(2, "missing_predecessor")]
+    changed = chain.withColumn("body", F.when(F.col("seq") == 9, "x").otherwise(F.col("body")))
+    assert bad(changed) == [(9, "altered")]
+    cut = integrity.chain_summary(integrity.verify_chain(chain.filter("seq <> 13"), width=7)).first()
     assert (cut.intact, cut.breaks, cut.first_break) == (False, 1, 14)
-    assert rows(integrity.seq_gaps(one.filter("seq not in (13, 14)"), width=5), "expected_seq", "found_seq", "missing") == [(13, 15, 2)]
+    assert rows(integrity.seq_gaps(chain.filter("seq not in (13, 14)"), width=5), "expected_seq", "found_seq", "missing") == [(13, 15, 2)]
 
 
 def test_resume_forces_everything_after(spark):
