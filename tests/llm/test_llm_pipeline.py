@@ -1,0 +1,78 @@
+"""Each stage of the pipeline against plain Python on what its predecessor kept."""
+
+import re
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from caseweave.llm import langid, secret_scan, toxicity
+from caseweave.session import cut_lineage
+from test_llm_operators import brute_components, check_packing
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def without_secrets(text):
+    """Spans in order of start and kind, overlapping ones merged under the name of the first."""
+    spans = []
+    for rank, (kind, (pattern, group, least)) in enumerate(secret_scan.BASE.items()):
+        spans += [(m.start(), rank, kind, m.end()) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+    merged = []
+    for start, _, kind, end in sorted(spans):
+        if merged and start < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end, kind])
+    out, at = "", 0
+    for start, end, kind in merged:
+        out, at = out + text[at:start] + f"[{kind}]", end
+    return out + text[at:]
+
+
+def test_stages_one_by_one(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda df: {r["doc_id"]: r for r in df.collect()}
+
+    known = cut_lineage(stages["language"](spark, docs, sf))
+    said = rows(langid.predict(docs, langid.fit(docs.filter("pmod(crc32(cast(doc_id as string)), 5) <> 0"))))
+    assert set(rows(known)) == {k for k, r in said.items() if r["lang_pred"] != "und" and r["score"] >= 0.5}
+
+    clean = cut_lineage(stages["toxicity"](spark, known, sf))
+    model = toxicity.fit(known, labels.filter("pmod(crc32(cast(doc_id as string)), 4) <> 2"))
+    scored = rows(toxicity.score(known, model))
+    assert set(rows(clean)) == {k for k, r in scored.items() if r["score"] < 0.3}
+
+    single = cut_lineage(stages["near_copies"](spark, clean, sf))
+    found = brute_components({k: r["text"] for k, r in rows(clean).items()})
+    assert set(rows(single)) == {k for k, (_, c) in found.items() if k == c}
+
+    safe = cut_lineage(stages["secrets"](spark, single, sf))
+    want = {k: without_secrets(r["text"]) for k, r in rows(single).items()}
+    got = rows(safe)
+    assert {k: r["text"] for k, r in got.items()} == want
+    assert all(r["n_chars"] == len(r["text"]) for k, r in got.items() if r["text"] != rows(single)[k]["text"])
+
+    for part in (known, clean, single, safe):
+        assert part.columns == COLUMNS
+    check_packing(stages["packing"](spark, safe, sf).collect(), [(k, r["text"]) for k, r in got.items()])
+
+
+def test_odd_rows_pass_all_stages(spark, sf):
+    """Nulls, empty texts, repeated rows and further columns with names of results."""
+    rows = [(1, "the same words in this row here", "en"), (1, "the same words in this row here", "en"), (2, None, "en"),
+            (3, "", None), (None, "a row without an id, token=abcdef1", "en"), (4, "!!!", "en"), (5, "THE same words in this row here", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns(
+        {"source": F.lit(None).cast("string"), "n_chars": F.lit(None).cast("long"), "score": F.lit("x"), "kept": F.lit(1), "spans": F.lit(2)}
+    )
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = cut_lineage(stage(spark, docs, sf))
+        assert docs.columns == columns, name
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in docs.collect()) == [
+        (0, "a row without an id, [assign]"), (1, "the same words in this row here")]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == 2
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf).count() == 0
