@@ -369,31 +369,48 @@ def dual_juror(clusters: DataFrame, cases: DataFrame) -> DataFrame:
 # ---- decisions -------------------------------------------------------------
 
 
-def merge_targets(decisions: DataFrame, max_rounds: int = 30) -> DataFrame:
-    """Final target of every merged cluster; chains of merges are followed to their end."""
-    merges = latest_per_key(
-        decisions.filter("action = 'merge_with' and merge_target_id is not null").select(
-            "case_id", "cluster_id", "seq", "merge_target_id"
-        ),
-        ["case_id", "cluster_id"],
-    ).select("case_id", "cluster_id", F.col("merge_target_id").alias("target"))
-    step = cut_lineage(merges)
-    for _ in range(max_rounds):
+def applied_merges(decisions: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
+    """Merges that take effect: case_id, cluster_id, target and seq, at most one per cluster.
+
+    Decisions apply in the order of `seq`. A merge that applies removes its cluster, so later decisions on this
+    cluster and later merges into it are refused; so are merges of a cluster into itself and, where `clusters`
+    is given, merges of or into clusters that are not in it. Applied merges cannot form a cycle.
+
+    A merge depends on earlier ones only. Each round settles those that are the first open merge of their
+    source and earlier than every open merge of their target, in all cases at once.
+    """
+    rows = decisions.filter("action = 'merge_with' and merge_target_id <> '' and merge_target_id <> cluster_id").select(
+        "case_id", "cluster_id", F.col("merge_target_id").alias("target"), "seq"
+    )
+    if clusters is not None:
+        known = clusters.select("case_id", "cluster_id").distinct()
+        rows = rows.join(known, ["case_id", "cluster_id"], "left_semi")
+        rows = rows.join(known.withColumnRenamed("cluster_id", "target"), ["case_id", "target"], "left_semi")
+    order = F.struct("seq", "cluster_id", "target")  # equal seq: any fixed order
+    waiting = cut_lineage(rows.select("case_id", "cluster_id", "target", "seq", order.alias("at")).distinct())
+    applied = waiting.limit(0)
+    while not waiting.isEmpty():
+        first = waiting.groupBy("case_id", "cluster_id").agg(F.min("at").alias("own"))
+        of_target = first.select("case_id", F.col("cluster_id").alias("target"), F.col("own").alias("other"))
+        ready = waiting.join(first, ["case_id", "cluster_id"]).filter(F.col("at") == F.col("own"))
+        ready = ready.join(of_target, ["case_id", "target"], "left").filter("other is null or at < other")
+        now = cut_lineage(ready.select(*waiting.columns))
+        applied = applied.unionByName(now)
+        gone = now.select("case_id", F.col("cluster_id").alias("target"), F.col("at").alias("gone"))
+        rest = waiting.join(now, ["case_id", "cluster_id"], "left_anti").join(gone, ["case_id", "target"], "left")
+        waiting = cut_lineage(rest.filter("gone is null or at < gone").select(*waiting.columns))
+    return applied.drop("at")
+
+
+def merge_targets(decisions: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
+    """Final target of every cluster that was merged away; chains of applied merges are followed to their end."""
+    step = applied_merges(decisions, clusters).select("case_id", "cluster_id", "target")
+    while True:
         up = step.select("case_id", F.col("cluster_id").alias("target"), F.col("target").alias("up"))
-        nxt = step.join(up, ["case_id", "target"], "left")
-        moved = nxt.filter("up is not null and up <> target and up <> cluster_id")
-        if not moved.limit(1).count():
+        moved = cut_lineage(step.join(up, ["case_id", "target"], "left"))
+        step = moved.select("case_id", "cluster_id", F.coalesce("up", "target").alias("target"))
+        if moved.filter("up is not null").isEmpty():
             return step
-        step = cut_lineage(
-            nxt.select(
-                "case_id",
-                "cluster_id",
-                F.when(F.col("up").isNotNull() & (F.col("up") != F.col("cluster_id")), F.col("up"))
-                .otherwise(F.col("target"))
-                .alias("target"),
-            )
-        )
-    raise RuntimeError("merge decisions form a cycle")
 
 
 def merged_members(members: DataFrame, targets: DataFrame) -> DataFrame:
@@ -426,28 +443,56 @@ def merged_counts(clusters: DataFrame, members: DataFrame, targets: DataFrame) -
 
 
 def decided_denylist(clusters: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Denylist from the latest decision per cluster: accepted third parties redact, preserved ones do not.
+    """Denylist from the last applied decision per cluster: accepted third parties redact, preserved ones do not.
 
-    Clusters merged away or folded into the subject have no entry.
+    Clusters merged away or last marked as the subject's alias have no entry; refused merges leave entries alone.
     """
-    last = latest_per_key(decisions.select("case_id", "cluster_id", "seq", "action", "note"), ["case_id", "cluster_id"])
+    kinds = "action in ('accept_as_third_party', 'preserve', 'mark_subject_alias')"
+    last = latest_per_key(
+        decisions.filter(kinds).select("case_id", "cluster_id", "seq", "action", "note"), ["case_id", "cluster_id"]
+    )
     rows = clusters.select("case_id", "cluster_id", "canonical_name").join(last, ["case_id", "cluster_id"], "inner")
-    return rows.filter("action in ('accept_as_third_party', 'preserve')").select(
+    rows = rows.join(applied_merges(decisions, clusters), ["case_id", "cluster_id"], "left_anti")
+    return rows.filter("action <> 'mark_subject_alias'").select(
         "case_id", "cluster_id", "canonical_name",
         (F.col("action") == "accept_as_third_party").alias("redact"),
         F.coalesce("note", F.lit("")).alias("operator_note"),
     )
 
 
-def subject_aliases(clusters: DataFrame, members: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Names, addresses and phones folded into the subject, one distinct value per row."""
-    last = latest_per_key(decisions.select("case_id", "cluster_id", "seq", "action"), ["case_id", "cluster_id"])
-    alias = last.filter("action = 'mark_subject_alias'").select("case_id", "cluster_id")
-    names = clusters.join(alias, ["case_id", "cluster_id"], "left_semi").select(
+def subject_aliases(
+    clusters: DataFrame, members: DataFrame, decisions: DataFrame, subjects: DataFrame | None = None
+) -> DataFrame:
+    """Names, addresses and phones folded into the subject, one distinct value per row.
+
+    A mark stays for good, whatever is decided later, and also takes the addresses and phones of clusters merged
+    in before it. Marks on clusters already merged away are refused. The subject's own name and address
+    (subjects: case_id, full_name, email) are left out.
+    """
+    merges = cut_lineage(applied_merges(decisions, clusters))
+    gone = merges.select("case_id", "cluster_id", F.col("seq").alias("gone"))
+    marks = decisions.filter("action = 'mark_subject_alias'").join(gone, ["case_id", "cluster_id"], "left")
+    marks = marks.filter("gone is null or seq < gone").groupBy("case_id", "cluster_id").agg(F.max("seq").alias("before"))
+    marks = cut_lineage(marks.join(clusters, ["case_id", "cluster_id"], "left_semi"))
+    into = merges.select("case_id", F.col("target").alias("cluster_id"), F.col("cluster_id").alias("source"), "seq")
+    folded = level = marks
+    while True:
+        level = into.join(level, ["case_id", "cluster_id"]).filter("seq < before").groupBy("case_id", "source").agg(
+            F.max("seq").alias("before")
+        )
+        level = cut_lineage(level.withColumnRenamed("source", "cluster_id"))
+        if level.isEmpty():
+            break
+        folded = folded.unionByName(level)
+    names = clusters.join(marks, ["case_id", "cluster_id"], "left_semi").select(
         "case_id", F.lit("alias").alias("kind"), F.col("canonical_name").alias("value")
     )
-    rest = members.join(alias, ["case_id", "cluster_id"], "left_semi").filter("kind in ('email', 'phone')")
-    return names.unionByName(rest.select("case_id", "kind", "value")).filter("value <> ''").distinct()
+    rest = members.filter("kind in ('email', 'phone')").join(folded, ["case_id", "cluster_id"], "left_semi")
+    found = names.unionByName(rest.select("case_id", "kind", "value")).filter("value <> ''").distinct()
+    if subjects is None:
+        return found
+    own = subjects.select("case_id", F.expr("stack(2, 'alias', full_name, 'email', email) as (kind, value)"))
+    return found.join(own, ["case_id", "kind", "value"], "left_anti")
 
 
 # ---- denylist --------------------------------------------------------------

@@ -13,6 +13,20 @@ from .standins import with_
 
 SUBJ = "coalesce(is_data_subject, false)"
 
+#: Merges as they apply, one decision after the other: `gone` holds the clusters of a case that are merged away.
+FOLD = with_("people", "people_decisions").replace("with ", "with recursive ", 1) + (
+    ", m as (select case_id, cluster_id, target_id, seq, row_number() over (partition by case_id order by seq) as i from people_decisions where action = 'merge_with' and target_id <> cluster_id), "
+    "fold as (select distinct case_id, cast(0 as bigint) as i, []::varchar[] as gone, null::varchar as src, null::varchar as dst, null::bigint as seq from m union all "
+    "select f.case_id, m.i, case when list_has_any(gone, [m.cluster_id, m.target_id]) then gone else list_append(gone, m.cluster_id) end, "
+    "case when not list_has_any(gone, [m.cluster_id, m.target_id]) then m.cluster_id end, m.target_id, m.seq from fold f join m on m.case_id = f.case_id and m.i = f.i + 1), "
+    "v as (select case_id, src, dst, seq from fold where src is not null), "
+    "walk as (select case_id, src as cluster_id, dst as target from v union all select w.case_id, w.cluster_id, v.dst from walk w join v on v.case_id = w.case_id and v.src = w.target), "
+    "z as (select * from walk w where not exists (select 1 from v where v.case_id = w.case_id and v.src = w.target)), "
+    "p as (select case_id, sha1(canonical_name)[1:16] as cluster_id, canonical_name, mention_count, custkey, has_email, is_data_subject from people), "
+    "l as (select case_id, cluster_id, arg_max(action, seq) as action, arg_max(note, seq) as note from people_decisions d where action <> 'merge_with' "
+    "and not exists (select 1 from v where v.case_id = d.case_id and v.src = d.cluster_id) group by 1, 2) "
+)
+
 
 @query(
     "people_top_n",
@@ -47,9 +61,8 @@ def dual_juror(spark, d):
 
 @query(
     "people_coverage",
-    with_("people", "people_decisions")
-    + """, l as (select case_id, cluster_id, arg_max(action, seq) as action from people_decisions group by 1, 2)
-    select p.case_id, count(*) as persons, cast(sum(case when has_email then 1 else 0 end) as bigint) as emails, count(*) as phones, count(*) filter (where is_data_subject) as subject_clusters,
+    FOLD
+    + """select p.case_id, count(*) as persons, cast(sum(case when has_email then 1 else 0 end) as bigint) as emails, count(*) as phones, count(*) filter (where is_data_subject) as subject_clusters,
     count(*) filter (where not is_data_subject) as third_party, count(*) filter (where action = 'accept_as_third_party') as denylist_redact, count(*) filter (where action = 'preserve') as denylist_preserve, 'passed' as gate
     from people p left join l on l.case_id = p.case_id and l.cluster_id = sha1(canonical_name)[1:16] group by 1""",
 )
@@ -103,18 +116,9 @@ def cluster_ids(spark, d):
     return people.with_ids(st.people(spark, d)).select("case_id", "canonical_name", "cluster_id")
 
 
-MERGE = with_("people", "people_decisions") + (
-    ", m as (select case_id, cluster_id, arg_max(target_id, seq) as target from people_decisions where action = 'merge_with' group by 1, 2), "
-    "x as (select case_id, cluster_id, case when target = cluster_id then cluster_id else target end as target from m), "
-    "y as (select a.case_id, a.cluster_id, coalesce(case when b.target <> a.cluster_id then b.target end, a.target) as target from x a left join x b on b.case_id = a.case_id and b.cluster_id = a.target), "
-    "z as (select a.case_id, a.cluster_id, coalesce(case when b.target <> a.cluster_id then b.target end, a.target) as target from y a left join y b on b.case_id = a.case_id and b.cluster_id = a.target), "
-    "p as (select case_id, sha1(canonical_name)[1:16] as cluster_id, canonical_name, mention_count, custkey, has_email from people) "
-)
-
-
 @query(
     "merged_clusters",
-    MERGE
+    FOLD
     + """, q as (select p.case_id, coalesce(z.target, p.cluster_id) as cluster_id, p.mention_count, p.custkey from p left join z using (case_id, cluster_id))
     select q.case_id, q.cluster_id, cast(sum(mention_count) as bigint) as mention_count, count(*) as merged_clusters, coalesce(any_value(dd), 0) as distinct_doc_count
     from q left join (select case_id, cluster_id, count(distinct date_trunc('month', o_orderdate)) as dd from q join orders on o_custkey = custkey group by 1, 2) r on r.case_id = q.case_id and r.cluster_id = q.cluster_id group by 1, 2""",
@@ -123,15 +127,14 @@ def merged_clusters(spark, d):
     rows = people.with_ids(st.people(spark, d))
     months = st.table(spark, d, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyy-MM").alias("value")).distinct()
     members = rows.join(months, F.col("custkey") == F.col("o_custkey")).select("case_id", "cluster_id", F.lit("source_ref").alias("kind"), "value")
-    targets = people.merge_targets(st.people_decisions(spark, d))
+    targets = people.merge_targets(st.people_decisions(spark, d), rows)
     return people.merged_counts(rows, members, targets)
 
 
 @query(
     "denylist",
-    with_("people", "people_decisions")
-    + """, l as (select case_id, cluster_id, arg_max(action, seq) as action, arg_max(note, seq) as note from people_decisions group by 1, 2)
-    select p.case_id, cluster_id, canonical_name, action = 'accept_as_third_party' as redact, note as operator_note from l join people p on l.case_id = p.case_id and l.cluster_id = sha1(canonical_name)[1:16]
+    FOLD
+    + """select p.case_id, cluster_id, canonical_name, action = 'accept_as_third_party' as redact, note as operator_note from l join p using (case_id, cluster_id)
     where action in ('accept_as_third_party', 'preserve')""",
 )
 def denylist(spark, d):
@@ -140,17 +143,22 @@ def denylist(spark, d):
 
 @query(
     "subject_aliases",
-    with_("people", "people_decisions")
-    + """, l as (select case_id, cluster_id, arg_max(action, seq) as action from people_decisions group by 1, 2),
-    a as (select p.* from l join people p on l.case_id = p.case_id and l.cluster_id = sha1(canonical_name)[1:16] where action = 'mark_subject_alias')
-    select case_id, 'alias' as kind, canonical_name as value from a union select case_id, 'phone', '020' || custkey from a union select case_id, 'email', lower(canonical_name) || '@example.com' from a where has_email""",
+    FOLD
+    + """, a as (select d.case_id, d.cluster_id, max(d.seq) as before from people_decisions d left join v on v.case_id = d.case_id and v.src = d.cluster_id
+    where action = 'mark_subject_alias' and (v.seq is null or d.seq < v.seq) group by 1, 2),
+    under as (select case_id, cluster_id, before from a union select v.case_id, v.src, v.seq from under u join v on v.case_id = u.case_id and v.dst = u.cluster_id and v.seq < u.before),
+    n as (select * from p semi join under using (case_id, cluster_id)), s as (select case_id, min(canonical_name) as own from p where is_data_subject group by 1)
+    select case_id, 'alias' as kind, canonical_name as value from p semi join a using (case_id, cluster_id) anti join s on s.case_id = p.case_id and own = canonical_name
+    union select case_id, 'phone', '020' || custkey from n union select case_id, 'email', lower(canonical_name) || '@example.com' from n anti join s on s.case_id = n.case_id and own = canonical_name where has_email""",
 )
 def subject_aliases(spark, d):
     rows = people.with_ids(st.people(spark, d))
     members = rows.select("case_id", "cluster_id", F.lit("email").alias("kind"), F.explode("emails").alias("value")).unionByName(
         rows.select("case_id", "cluster_id", F.lit("phone").alias("kind"), F.explode("phones").alias("value"))
     )
-    return people.subject_aliases(rows, members, st.people_decisions(spark, d))
+    subjects = rows.filter("is_data_subject").groupBy("case_id").agg(F.min("canonical_name").alias("full_name"))
+    subjects = subjects.withColumn("email", F.concat(F.lower("full_name"), F.lit("@example.com")))
+    return people.subject_aliases(rows, members, st.people_decisions(spark, d), subjects)
 
 
 def _mail(spark, d):

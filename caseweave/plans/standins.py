@@ -400,16 +400,19 @@ def people_decisions(spark: SparkSession, d: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "F", "preserve")
         .otherwise("accept_as_third_party")
     )
-    # merges go to the lowest name of the nation and segment, so that many clusters share a target
-    nation = table(spark, d, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.min("c_name").alias("target_name"))
-    c = table(spark, d, "customer").join(nation, ["c_nationkey", "c_mktsegment"]).select("c_custkey", "c_mktsegment", "c_name", "target_name")
+    # merges go to the lowest name of the nation and segment, so that many clusters share a target, urgent ones
+    # to the highest, so that merges also chain, cross and come too late
+    ends = F.min("c_name").alias("low"), F.max("c_name").alias("high")
+    nation = table(spark, d, "customer").groupBy("c_nationkey", "c_mktsegment").agg(*ends)
+    c = table(spark, d, "customer").join(nation, ["c_nationkey", "c_mktsegment"])
+    target_name = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("high")).otherwise(F.col("low"))
     return o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("c_mktsegment").alias("case_id"),
         hashing.cluster_id(F.col("c_name")).alias("cluster_id"),
         F.col("o_orderkey").alias("seq"),
         action.alias("action"),
         F.col("o_orderpriority").alias("note"),
-        F.when(action == "merge_with", hashing.cluster_id(F.col("target_name"))).alias("merge_target_id"),
+        F.when(action == "merge_with", hashing.cluster_id(target_name)).alias("merge_target_id"),
     )
 
 
@@ -417,6 +420,6 @@ cte(
     "people_decisions",
     "select c.c_mktsegment as case_id, sha1(c.c_name)[1:16] as cluster_id, o_orderkey as seq, "
     "case when o_totalprice > 400000 then 'merge_with' when o_totalprice > 350000 then 'mark_subject_alias' when o_orderstatus = 'F' then 'preserve' else 'accept_as_third_party' end as action, "
-    "o_orderpriority as note, sha1(t.target_name)[1:16] as target_id from orders join customer c on o_custkey = c.c_custkey "
-    "join (select c_nationkey, c_mktsegment, min(c_name) as target_name from customer group by 1, 2) t on t.c_nationkey = c.c_nationkey and t.c_mktsegment = c.c_mktsegment",
+    "o_orderpriority as note, sha1(case when o_orderpriority = '1-URGENT' then t.high else t.low end)[1:16] as target_id from orders join customer c on o_custkey = c.c_custkey "
+    "join (select c_nationkey, c_mktsegment, min(c_name) as low, max(c_name) as high from customer group by 1, 2) t on t.c_nationkey = c.c_nationkey and t.c_mktsegment = c.c_mktsegment",
 )

@@ -393,6 +393,42 @@ def test_merges_follow_chains(spark):
     assert rows(people.merged_counts(clusters, members, targets), "cluster_id", "mention_count", "distinct_doc_count") == [("k9", 20, 4), ("solo", 1, 0)]
 
 
+def _decided(spark, *data):
+    return spark.createDataFrame([(*x, i) for i, x in enumerate(data)], "case_id string, cluster_id string, action string, merge_target_id string, note string, seq int")
+
+
+def test_decisions_apply_in_order(spark):
+    merge = lambda case, a, b: (case, a, "merge_with", b, None)
+    dec = _decided(
+        spark,
+        merge("first", "A", "B"), merge("first", "A", "C"),  # only the first of a cluster
+        merge("late", "B", "C"), merge("late", "A", "B"),  # the target is gone
+        merge("swap", "A", "B"), merge("swap", "B", "A"),
+        merge("ring", "A", "B"), merge("ring", "B", "C"), merge("ring", "C", "A"),
+        merge("self", "A", "A"), merge("none", "A", None), merge("none", "A", ""), merge("unknown", "A", "X"),
+        merge("freed", "B", "C"), merge("freed", "A", "B"), merge("freed", "D", "A"),  # a refused merge leaves its source
+    )
+    clusters = spark.createDataFrame([(r.case_id, c) for r in dec.select("case_id").distinct().collect() for c in "ABCD"], "case_id string, cluster_id string")
+    got = rows(people.merge_targets(dec, clusters), "case_id", "cluster_id", "target")
+    assert got == [("first", "A", "B"), ("freed", "B", "C"), ("freed", "D", "A"), ("late", "B", "C"), ("ring", "A", "C"), ("ring", "B", "C"), ("swap", "A", "B")]
+    assert people.merge_targets(dec.limit(0), clusters).collect() == []
+
+
+def test_denylist_and_aliases_follow_the_order(spark):
+    dec = _decided(
+        spark,
+        ("c", "A", "accept_as_third_party", None, "x"), ("c", "A", "merge_with", "B", None), ("c", "A", "accept_as_third_party", None, "too late"),
+        ("c", "B", "mark_subject_alias", None, None), ("c", "D", "merge_with", "B", None), ("c", "B", "accept_as_third_party", None, None),
+        ("c", "D", "mark_subject_alias", None, None), ("c", "E", "preserve", None, "keep"), ("c", "E", "merge_with", "A", None),
+    )
+    clusters = spark.createDataFrame([("c", k, f"name {k}") for k in "ABCDE"], "case_id string, cluster_id string, canonical_name string")
+    members = spark.createDataFrame([("c", k, kind, f"{kind} {k}") for k in "ABCDE" for kind in ("email", "phone", "title")], "case_id string, cluster_id string, kind string, value string")
+    assert rows(people.decided_denylist(clusters, dec), "cluster_id", "redact", "operator_note") == [("B", True, ""), ("E", False, "keep")]
+    subjects = spark.createDataFrame([("c", "name Z", "email A")], "case_id string, full_name string, email string")
+    got = rows(people.subject_aliases(clusters, members, dec, subjects), "kind", "value")
+    assert got == [("alias", "name B"), ("email", "email B"), ("phone", "phone A"), ("phone", "phone B")]
+
+
 def test_quality_mode_tie_is_cautious(spark):
     df = spark.createDataFrame([("k", q) for q in ["high", "low", "low", "high", "unknown"]] + [("j", q) for q in ["high", "ocr_failure"]], "k string, text_quality string")
     assert rows(people.quality_mode(df, ["k"]), "k", "text_quality_summary") == [("j", "ocr_failure"), ("k", "low")]
