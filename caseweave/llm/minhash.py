@@ -23,6 +23,7 @@ from .components import components
 from .words import Words, mixed
 
 BANDS, ROWS = 30, 6  # a pair at 0.85 is missed by all bands once in a million, at 0.9 once in 10 ** 10
+_WORDS = 1 << 18  # rows of the bitmap of ids that is broadcast
 _U = np.uint32
 _CHUNK = 1 << 16
 
@@ -110,6 +111,20 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _likely(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows whose node is in nodes, and others whose node has the same hash, in place and without a shuffle.
+
+    What is broadcast is a bitmap of hashes: at most `_WORDS` rows of 64 bits, however many nodes there are. With
+    more nodes than it has bits it lets more rows through, so the caller joins exactly afterwards.
+    """
+    place = F.pmod(F.xxhash64("node"), F.lit(64 * _WORDS))
+    word, bit = F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))")
+    bits = nodes.select(place.alias("place")).groupBy(word).agg(F.bit_or(bit).alias("bits"))
+    placed = rows.filter("node is not null").withColumn("place", place)
+    found = placed.withColumn("word", word).join(F.broadcast(bits), "word").filter(F.col("bits").bitwiseAND(bit) != 0)
+    return found.select(*rows.columns)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union."""
     sizes = sets.select("node", F.size("shingles").alias("n"))
@@ -202,9 +217,9 @@ def near_duplicates(
     members = cut_lineage(exploded.join(shared, "bucket"))
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    sets = cut_lineage(
-        shingle_sets(texts.join(weights.select("node"), "node", "left_semi"), "node", "text").distinct()
-    )
+    # texts stay where they are; only shingle sets are shuffled
+    sets = shingle_sets(_likely(texts, weights.select("node")), "node", "text")
+    sets = cut_lineage(sets.join(weights.select("node"), "node", "left_semi").distinct())
     centre = F.max_by("node", F.struct("weight", -F.col("node")))
     chosen = members.join(weights, "node").groupBy("bucket").agg(centre.alias("centre"))
     others = cut_lineage(members.join(chosen, "bucket").filter("node <> centre").select("bucket", "node", "centre"))
@@ -216,7 +231,8 @@ def near_duplicates(
     links = cut_lineage(same.distinct().union(_confirmed(pairs, sets, percent)))
     labels = components(links)
     left = _open(others.select("bucket", "node"), labels).select("node").distinct()
-    members = cut_lineage(_rarest(sets.join(left, "node", "left_semi"), percent))
+    sets = cut_lineage(sets.join(left, "node", "left_semi"))
+    members = cut_lineage(_rarest(sets, percent))
     for turn in itertools.count():
         left = cut_lineage(_open(members, labels))
         if not left.limit(1).count():
