@@ -189,9 +189,7 @@ def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
     rare = ordered.select(
         "case_id", "name", "wanted", "n", "grams", F.posexplode(F.slice("grams", F.lit(1), keep)).alias("pos", "g")
     )
-    # few bytes but much work per byte: ask for the full number of tasks, which is not coalesced
-    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rare = rare.repartition(tasks, "case_id", "g")
+    # no partitioning by hand: adaptive execution may only split a trigram that stands out in exchanges of its own
     a, b = rare.alias("a"), rare.alias("b")
     cosine = F.size(F.array_intersect("a.grams", "b.grams")) / F.sqrt(F.col("a.n") * F.col("b.n"))
     # from their first common trigram on, two sets cannot share more than what is left of either
@@ -216,16 +214,16 @@ def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
     )
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """Connected components of (case_id, node, key) links: nodes sharing a key belong together.
 
     Each round takes the smallest label per key and then per node, both pre-combined, so a key
     shared by a large part of all nodes stays a star and is never expanded to pairs; a jump to the
-    label's own label shortens chains. Rounds are checkpointed in the shared folder.
+    label's own label shortens chains. Rounds are written to the shared folder and end when no label changes.
     """
     edges = cut_lineage(links.select("case_id", "node", "key").distinct())
     labels = edges.groupBy("case_id", "node").agg(F.min("node").alias("label"))
-    for _ in range(max_rounds):
+    while True:
         by_key = edges.join(labels, ["case_id", "node"]).groupBy("case_id", "key").agg(F.min("label").alias("label"))
         reached = edges.join(by_key, ["case_id", "key"]).groupBy("case_id", "node").agg(F.min("label").alias("label"))
         jump = reached.select("case_id", F.col("node").alias("label"), F.col("label").alias("up"))
@@ -238,7 +236,6 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         if labels.filter(F.col("label") != F.col("old")).isEmpty():
             return labels.drop("old")
         labels = labels.drop("old")
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def alias_clusters(mentions: DataFrame, threshold: float = 0.85) -> DataFrame:
