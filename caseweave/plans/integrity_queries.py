@@ -713,4 +713,4 @@ def stream_gaps(spark, d):
     rows = _event_stream(spark, d).select(F.col("event_type").alias("case_id"), F.lit("events").alias("source"), F.col("event_id").alias("seq"))
     q = watch.gap_stream(rows).writeStream.format("parquet").option("checkpointLocation", check).option("path", out).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(watch.GAPS).parquet(out)
+    return watch.open_gaps(spark.read.schema(watch.GAPS).parquet(out))

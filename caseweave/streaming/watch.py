@@ -7,34 +7,56 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-GAPS = "case_id string, source string, expected_seq bigint, found_seq bigint, missing bigint"
+GAPS = "case_id string, source string, expected_seq bigint, found_seq bigint, missing bigint, sign int"
 SILENCE = "case_id string, source string, kind string, silent_ms bigint"
 
 
 class _Gaps(StatefulProcessor):
-    """Remembers the last ordinal of a (case, source) and reports holes."""
+    """Remembers the holes of a (case, source) and reports how they open, shrink and close."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "seq bigint")
+        self.ends = handle.getValueState("ends", "first bigint, last bigint")
+        self.holes = handle.getMapState("holes", "expected_seq bigint", "found_seq bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seqs = np.sort(np.concatenate([part["seq"].to_numpy(dtype="int64") for part in rows]))
-        if self.last.exists():
-            # ordinals at or below the last one seen arrive late: they open no new gap
-            last = self.last.get()[0]
-            seqs = np.concatenate([[last], seqs[seqs > last]])
-        at = np.flatnonzero(np.diff(seqs) > 1)
-        self.last.update((int(seqs[-1]),))
-        yield pd.DataFrame(
+        ends = self.ends.get() if self.ends.exists() else None
+        before = {k[0]: v[0] for k, v in self.holes.iterator()} if ends else {}
+        held = np.array(sorted(before.items()), dtype=np.int64).reshape(-1, 2)
+        for part in rows:
+            # a null ordinal says nothing about holes
+            seqs = np.unique(part["seq"].dropna().to_numpy(dtype="int64"))
+            if len(seqs):
+                ends = ends or (int(seqs[0]), int(seqs[0]))
+                closed, opened = changed_holes(held, ends, seqs)
+                kept = held[~np.isin(held[:, 0], closed[:, 0])]
+                held = np.concatenate([kept, opened])
+                held = held[np.argsort(held[:, 0])]
+                ends = min(ends[0], int(seqs[0])), max(ends[1], int(seqs[-1]))
+                yield self._changes(key, closed, opened)
+        after = dict(held.tolist())
+        for expected in before.keys() - after.keys():
+            self.holes.removeKey((expected,))
+        for expected, found in after.items():
+            if before.get(expected) != found:
+                self.holes.updateValue((expected,), (found,))
+        if ends:
+            self.ends.update(ends)
+
+    @staticmethod
+    def _changes(key, closed: np.ndarray, opened: np.ndarray) -> pd.DataFrame:
+        both = np.concatenate([closed, opened])
+        return pd.DataFrame(
             {
-                "case_id": np.full(len(at), key[0], dtype=object),
-                "source": np.full(len(at), key[1], dtype=object),
-                "expected_seq": seqs[at] + 1,
-                "found_seq": seqs[at + 1],
-                "missing": seqs[at + 1] - seqs[at] - 1,
+                "case_id": np.full(len(both), key[0], dtype=object),
+                "source": np.full(len(both), key[1], dtype=object),
+                "expected_seq": both[:, 0],
+                "found_seq": both[:, 1],
+                "missing": both[:, 1] - both[:, 0],
+                "sign": np.repeat(np.array([-1, 1], np.int32), [len(closed), len(opened)]),
             }
         )
 
@@ -42,6 +64,38 @@ class _Gaps(StatefulProcessor):
         pass
 
 
+def changed_holes(held: np.ndarray, ends: tuple[int, int], seqs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The holes that arriving ordinals close, and those that they open.
+
+    A hole is (expected, found): expected and what follows are missing, found is there. `held` are those known, in
+    order, `ends` the smallest and largest ordinal known, `seqs` the new ones, ascending and distinct. An ordinal
+    inside a hole closes it and opens what remains on its two sides.
+    """
+    first, last = ends
+    points = np.concatenate([seqs[seqs < first], [first]]), np.concatenate([[last], seqs[seqs > last]])
+    opened = [_between(p) for p in points]
+    if not len(held):
+        return held, np.concatenate(opened)
+
+    def hole_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.maximum(np.searchsorted(held[:, 0], x, "right") - 1, 0)
+        return at, (x >= held[at, 0]) & (x < held[at, 1])
+
+    at, inside = hole_of(seqs)
+    touched = np.zeros(len(held), bool)
+    touched[at[inside]] = True
+    closed = held[touched]
+    pieces = _between(np.sort(np.concatenate([closed[:, 0] - 1, seqs[inside], closed[:, 1]])))
+    at, within = hole_of(pieces[:, 0])  # what lies between two holes is there
+    return closed, np.concatenate([*opened, pieces[within & touched[at]]])
+
+
+def _between(points: np.ndarray) -> np.ndarray:
+    """The holes between ascending ordinals."""
+    at = np.flatnonzero(np.diff(points) > 1)
+    return np.column_stack([points[at] + 1, points[at + 1]])
+
+
 class _Silence(StatefulProcessor):
     """Sets a timer on every input; when it fires the source has been silent."""
 
@@ -77,15 +131,22 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def gap_stream(events: DataFrame) -> DataFrame:
-    """Sequence gaps per (case, source) of a stream with a `seq` column.
+    """Changes of the sequence gaps per (case, source) of a stream with a `seq` column.
 
-    A batch's ordinals of one key are sorted as one number array; bound the batch with maxFilesPerTrigger.
+    sign 1 opens a gap, sign -1 takes one back that an ordinal of a later batch has filled or split; `open_gaps`
+    gives the balance. A batch is worked through part by part, so a task holds one part and its key's open gaps.
     """
     return events.groupBy("case_id", "source").transformWithStateInPandas(
         statefulProcessor=_Gaps(), outputStructType=GAPS, outputMode="append", timeMode="None"
     )
 
 
+def open_gaps(changes: DataFrame) -> DataFrame:
+    """The gaps that are open after all changes written by `gap_stream`, whatever batches the ordinals came in."""
+    gap = ["case_id", "source", "expected_seq", "found_seq", "missing"]
+    return changes.groupBy(*gap).agg(F.sum("sign").alias("balance")).filter("balance > 0").select(*gap)
+
+
 def silence_stream(events: DataFrame, limit_ms: int = 15_000) -> DataFrame:
     """One alert per (case, source) whenever nothing arrived for `limit_ms`."""
     return events.groupBy("case_id", "source").transformWithStateInPandas(

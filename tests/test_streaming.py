@@ -3,6 +3,9 @@
 import json
 import time
 
+import numpy as np
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from caseweave.functions import vocab
@@ -124,6 +127,37 @@ def test_gaps_across_batches(spark, tmp_path):
     assert got == [("c", 3, 5, 2), ("c", 8, 9, 1)]
 
 
+def test_gaps_do_not_depend_on_batches(spark, tmp_path):
+    watch.use_rocksdb(spark)
+    src = tmp_path / "in"
+    for n, seqs in enumerate([(8, 20, 14), (10, 9, 30), (3, 15, 13, 21), (25, 4, 8)]):
+        land(src, n, [("c", "", s, "") for s in seqs] + [("d", "", n, "")])
+        time.sleep(1.1)
+    rows = decision_stream(spark, src).select("case_id", F.lit("L1").alias("source"), "seq")
+    out = run_folder(spark, "gaps")
+    q = watch.gap_stream(rows).writeStream.format("parquet").option("path", out).option("checkpointLocation", run_folder(spark, "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    changes = spark.read.schema(watch.GAPS).parquet(out)
+    got = sorted((r.case_id, r.expected_seq, r.found_seq, r.missing) for r in watch.open_gaps(changes).collect())
+    assert got == [("c", 5, 8, 3), ("c", 11, 13, 2), ("c", 16, 20, 4), ("c", 22, 25, 3), ("c", 26, 30, 4)]
+    assert changes.filter("sign < 0").count() > 0  # gaps were taken back
+
+
+@given(st.lists(st.sets(st.integers(-20, 20), min_size=1, max_size=8), min_size=1, max_size=6))
+def test_holes_of_any_order(parts):
+    held, ends, seen = np.empty((0, 2), np.int64), None, set()
+    for part in parts:
+        seqs = np.array(sorted(part), np.int64)
+        ends = ends or (int(seqs[0]), int(seqs[0]))
+        closed, opened = watch.changed_holes(held, ends, seqs)
+        left = {tuple(h) for h in held.tolist()} - {tuple(h) for h in closed.tolist()}
+        held = np.array(sorted(left | {tuple(h) for h in opened.tolist()}), np.int64).reshape(-1, 2)
+        ends = min(ends[0], int(seqs[0])), max(ends[1], int(seqs[-1]))
+        seen |= part
+        order = sorted(seen)
+        assert held.tolist() == [[a + 1, b] for a, b in zip(order, order[1:]) if b - a > 1]
+
+
 def test_silence_is_reported(spark, tmp_path):
     watch.use_rocksdb(spark)
     src = tmp_path / "in"
