@@ -15,6 +15,7 @@ from .batches import carried, carried_fields, slices, sums_between, with_text_la
 
 ORDERS = (1, 2, 3)
 BITS = 15
+SLICE = 1 << 20  # bytes of text at once; the arrays of a slice take some fifty times as much
 UNKNOWN = "und"
 _U = np.uint32
 
@@ -85,7 +86,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}  # the last place counts documents
         for batch in batches:
-            for first, end, data, bounds in slices(batch.column(1)):
+            for first, end, data, bounds in slices(batch.column(1), SLICE):
                 folded, edges, _ = _characters(data, bounds)
                 langs = batch.column(0).slice(first, end - first).to_pylist()
                 names = sorted(set(langs))
@@ -134,7 +135,7 @@ def predict(
         langs, table, prior = held.value
         columns = np.ascontiguousarray(table.T)
         for batch in batches:
-            for first, end, data, bounds in slices(batch.column(len(carry))):
+            for first, end, data, bounds in slices(batch.column(len(carry)), SLICE):
                 folded, edges, known = _characters(data, bounds)
                 total = np.zeros((len(langs), end - first))
                 for buckets, at in _grams(folded, edges):

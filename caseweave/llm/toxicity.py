@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .batches import carried, carried_fields, slices, with_text_last
 from .words import BLANK, Words, mixed
 
+SLICE = 1 << 20  # bytes of text at once; the arrays of a slice take some fifty times as much
 SAMPLE = 20_000  # labelled documents that the model is fitted on, at most
 FEATURES = 4096  # voters kept, the strongest
 VOTERS = 256  # of these the label model weighs, the strongest
@@ -91,7 +92,7 @@ def _voters(rows: DataFrame, features: int) -> tuple[np.ndarray, int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, _, data, bounds in slices(batch.column(1), 1 << 20):
+            for first, _, data, bounds in slices(batch.column(1), SLICE):
                 hashes, owner = _pairs(data, bounds, lambda h: np.arange(len(h)))
                 keys, which = np.unique(hashes, return_inverse=True)
                 bad = np.bincount(which, toxic[first + owner] > 0, len(keys)).astype(np.int64)
@@ -126,7 +127,7 @@ def _votes(rows: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = _wanted(held.value)
         for batch in batches:
-            for first, end, data, bounds in slices(batch.column(1)):
+            for first, end, data, bounds in slices(batch.column(1), SLICE):
                 hashes, owner = _pairs(data, bounds, keep)
                 place = np.searchsorted(held.value, hashes).astype(np.int32)
                 edges = np.searchsorted(owner, np.arange(end - first + 1)).astype(np.int32)
@@ -228,7 +229,7 @@ def score(
         keys, weights, bias = held.value
         keep = _wanted(keys)
         for batch in batches:
-            for first, end, data, bounds in slices(batch.column(len(carry))):
+            for first, end, data, bounds in slices(batch.column(len(carry)), SLICE):
                 hashes, owner = _pairs(data, bounds, keep)
                 odds = np.full(end - first, bias)
                 if len(hashes):
