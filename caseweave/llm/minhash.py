@@ -111,18 +111,21 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _likely(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows whose node is in nodes, and others whose node has the same hash, in place and without a shuffle.
+def marked(rows: DataFrame, node, nodes: DataFrame) -> DataFrame:
+    """The rows, in place and without a shuffle, with `__hit`: is their node (a long) in nodes, or of equal hash?
 
     What is broadcast is a bitmap of hashes: at most `_WORDS` rows of 64 bits, however many nodes there are. With
-    more nodes than it has bits it lets more rows through, so the caller joins exactly afterwards.
+    more nodes than it has bits it lets more rows through, so the caller joins those exactly afterwards.
     """
-    place = F.pmod(F.xxhash64("node"), F.lit(64 * _WORDS))
-    word, bit = F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))")
-    bits = nodes.select(place.alias("place")).groupBy(word).agg(F.bit_or(bit).alias("bits"))
-    placed = rows.filter("node is not null").withColumn("place", place)
-    found = placed.withColumn("word", word).join(F.broadcast(bits), "word").filter(F.col("bits").bitwiseAND(bit) != 0)
-    return found.select(*rows.columns)
+    place_of = lambda x: F.pmod(F.xxhash64(x), F.lit(64 * _WORDS))
+    word, bit = F.shiftright("__place", 6), F.expr("shiftleft(1L, cast(__place & 63 as int))")
+    bits = nodes.select(place_of(F.col("node")).alias("__place"))
+    bits = bits.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    placed = rows.withColumn("__place", place_of(node)).withColumn("__word", word)
+    found = placed.join(F.broadcast(bits), "__word", "left")
+    return found.select(
+        *(F.col(f"`{c}`") for c in rows.columns), (F.coalesce("__bits", F.lit(0)).bitwiseAND(bit) != 0).alias("__hit")
+    )
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -218,7 +221,8 @@ def near_duplicates(
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     # texts stay where they are; only shingle sets are shuffled
-    sets = shingle_sets(_likely(texts, weights.select("node")), "node", "text")
+    near = marked(texts.filter("node is not null"), F.col("node"), weights.select("node")).filter("__hit")
+    sets = shingle_sets(near.select("node", "text"), "node", "text")
     sets = cut_lineage(sets.join(weights.select("node"), "node", "left_semi").distinct())
     centre = F.max_by("node", F.struct("weight", -F.col("node")))
     chosen = members.join(weights, "node").groupBy("bucket").agg(centre.alias("centre"))

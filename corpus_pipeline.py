@@ -42,12 +42,15 @@ def _one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     found = cut_lineage(minhash.near_duplicates(docs).filter("doc_id is not null"))
     gone = found.filter("not kept").select("doc_id").distinct()
     repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    touched = gone.union(repeated).select(F.col("doc_id").cast("long").alias("node"))
+    rows = minhash.marked(docs, F.col("doc_id").cast("long"), touched)
+    settled = rows.filter("not __hit").select(*docs.columns)  # most texts are not shuffled
+    kept = rows.filter("__hit").join(gone, "doc_id", "left_anti").select(*docs.columns)
     once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(
         F.min(F.struct(*(F.col(f"`{c}`") for c in ["text", *(c for c in docs.columns if c != "text")]))).alias("row")
     )
     alone = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    return alone.unionByName(once.select("row.*").select(*docs.columns))
+    return settled.unionByName(alone).unionByName(once.select("row.*").select(*docs.columns))
 
 
 def _without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
