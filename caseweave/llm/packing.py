@@ -1,7 +1,8 @@
 """Packing of tokenised documents into windows by lexical retrieval.
 
-Documents are spread over shards of bounded size. Each shard has a BM25 index of its pieces; a seed document
-asks it for unused neighbours, which greedily fill the seed's window. Word weights come from all documents.
+Documents are placed by content in shards of bounded size: a tree of cuts, learned from a sample of all documents,
+keeps those together that share their highest-weight pieces. Each shard has a BM25 index of its pieces; a seed
+document asks it for unused neighbours, which greedily fill the seed's window. Word weights come from all documents.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from .token_counts import byte_letters
 WINDOW = 2048
 SHARD_TOKENS = 1_000_000
 K1, B = 1.2, 0.75
+AXES = 32  # random axes of a sketch
+SALT = 1e-3  # scale of the coordinate that tells equal texts apart
+SAMPLE = 64  # documents a shard, from which cuts are learned
+_CHUNK = 1 << 17
 
 
 class Vocabulary:
@@ -159,6 +164,122 @@ class Index:
         return np.bincount(self.piece[at], self.score[at], minlength=self.count)
 
 
+@lru_cache(maxsize=1)
+def _axes(size: int) -> np.ndarray:
+    return np.random.default_rng(1).standard_normal((size, AXES), np.float32)
+
+
+def sketches(pieces: list[np.ndarray], salt: np.ndarray, weight: np.ndarray, mean: float) -> np.ndarray:
+    """For each piece its BM25 term scores on random axes, scaled to length 1, and one more coordinate from its salt.
+
+    A piece's sketch does not depend on the others. salt: numbers in [0, 1).
+    """
+    axes = _axes(len(weight))
+    out = np.zeros((len(pieces), AXES + 1), np.float32)
+    out[:, AXES] = SALT * salt
+    lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    ends = np.cumsum(lengths)
+    lo = 0
+    while lo < len(pieces):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - lengths[lo] + _CHUNK, "right")))
+        own = lengths[lo:hi]
+        owner = np.repeat(np.arange(hi - lo, dtype=np.int64), own)
+        both = np.sort(owner << 32 | np.concatenate(pieces[lo:hi]).astype(np.int64))
+        heads = np.flatnonzero(np.append(True, both[1:] != both[:-1])[: len(both)])
+        tf = np.diff(np.append(heads, len(both)))
+        piece, terms = both[heads] >> 32, both[heads] & 0xFFFFFFFF
+        norm = K1 * (1 - B + B * own / mean)
+        score = (weight[terms] * tf * (K1 + 1) / (tf + norm[piece])).astype(np.float32)
+        full = np.flatnonzero(own)
+        if len(full):
+            sums = np.add.reduceat(axes[terms] * score[:, None], np.searchsorted(piece, full))
+            long = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+            out[lo + full, :AXES] = sums / np.maximum(long, np.float32(1e-9))
+        lo = hi
+    return out
+
+
+class Cuts:
+    """A tree that cuts the space of sketches into shards of about equal numbers of tokens.
+
+    Each cut is across the direction in which the sample below it is widest. Copies of one text differ only in
+    their salt, so cuts among them go by it and no shard holds them all.
+    """
+
+    def __init__(self, sample: np.ndarray, tokens: np.ndarray, shards: int):
+        self.way = np.zeros((max(1, shards - 1), sample.shape[1]), np.float32)
+        self.edge = np.full(max(1, shards - 1), np.inf, np.float32)
+        self.next = np.full((max(1, shards - 1), 2), -1, np.int64)  # a cut, or -1 - shard
+        free, named = iter(range(shards)), iter(range(shards))
+        waiting = [(np.arange(len(sample)), shards, None)]
+        while waiting:
+            rows, share, parent = waiting.pop()
+            node = next(free) if share > 1 else -1 - next(named)
+            if parent:
+                self.next[parent] = node
+            if share == 1:
+                continue
+            half = share // 2
+            below = above = rows
+            if len(rows):
+                apart = sample[rows].astype(np.float64)
+                apart -= apart.mean(axis=0)
+                self.way[node] = np.linalg.eigh(apart.T @ apart)[1][:, -1]
+                at = self.along(sample[rows], np.full(len(rows), node))
+                order = np.argsort(at, kind="stable")
+                upto = np.cumsum(tokens[rows][order])
+                self.edge[node] = at[order[min(int(np.searchsorted(upto, upto[-1] * half / share)), len(rows) - 1)]]
+                below, above = rows[at <= self.edge[node]], rows[at > self.edge[node]]
+            waiting += [(below, half, (node, 0)), (above, share - half, (node, 1))]
+
+    def along(self, found: np.ndarray, node: np.ndarray) -> np.ndarray:
+        return (found * self.way[node]).sum(axis=1)
+
+    def shard(self, found: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(found), np.int64)
+        while (open_ := np.flatnonzero(node >= 0)).size:
+            own = node[open_]
+            node[open_] = self.next[own, (self.along(found[open_], own) > self.edge[own]).astype(np.int64)]
+        return -1 - node
+
+
+def _unpacked(ids: pa.Array, n: np.ndarray) -> list[np.ndarray]:
+    buffers = [ids[i].as_buffer() for i in range(len(n))]
+    return [np.frombuffer(b, "<u2" if b.size == 2 * k else "<u4") for b, k in zip(buffers, n.tolist(), strict=True)]
+
+
+def _by_content(rows: DataFrame, id_col: str, held, mean: float, window: int, shards: int, texts: int) -> DataFrame:
+    """The rows with their shard: what a row has beyond a multiple of `window` decides."""
+    mark = F.xxhash64(F.col(id_col), F.crc32("ids"), F.col("n"))
+    salted = rows.withColumn("salt", F.pmod(mark, F.lit(1 << 24)) / (1 << 24))
+
+    def found(batch: pa.RecordBatch) -> np.ndarray:
+        ids = _unpacked(batch.column("ids"), n := batch.column("n").to_numpy())
+        tails = [own[k // window * window :] for own, k in zip(ids, n.tolist(), strict=True)]
+        return sketches(tails, batch.column("salt").to_numpy(), held.value, mean)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [x.tobytes() for x in found(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(parts, pa.binary())], names=["n", "sketch"])
+
+    # rows of the sample by another hash than their salt; on the driver about 150 bytes each
+    rate = min(1.0, SAMPLE * shards / max(1, texts))
+    chosen = salted.filter(F.pmod(F.xxhash64(mark), F.lit(1 << 24)) < F.lit(int(rate * (1 << 24))))
+    sample = chosen.select("n", "ids", "salt").mapInArrow(learn, "n bigint, sketch binary").toPandas()
+    sample = sample.sort_values(["sketch", "n"], kind="stable")
+    points = np.frombuffer(b"".join(map(bytes, sample["sketch"])), np.float32).reshape(-1, AXES + 1)
+    cuts = rows.sparkSession.sparkContext.broadcast(Cuts(points, sample["n"].to_numpy(np.int64), shards))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard = pa.array(cuts.value.shard(found(batch)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], shard], names=[id_col, "n", "ids", "shard"])
+
+    kind = rows.schema[id_col].dataType.simpleString()
+    return salted.mapInArrow(place, f"`{id_col}` {kind}, n bigint, ids binary, shard bigint")
+
+
 def fill_windows(lengths: np.ndarray, scores, window: int) -> Iterator[list[tuple[int, int]]]:
     """Windows as lists of (piece, tokens of it taken from what is left of it).
 
@@ -201,11 +322,14 @@ def pack(
     Columns: id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids (little-endian) if asked
     for. A null or empty text is the end id alone. Repeated rows are packed as often as they occur; a null id is
     packed like any other. What a document has beyond a multiple of `window` goes to its shard's index. Each
-    shard leaves at most one sequence that is not full.
+    shard leaves at most one sequence that is not full. Neighbours come from the seed's shard, which holds the texts
+    most like it of all documents; the README says how many of the global best are among them.
     """
     table = cut_lineage(tokenised(docs, vocabulary_path, end_id, id_col, text_col))
     rows = table.filter("ids is not null").select(id_col, "n", "ids")
-    total = rows.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("docs")).first()
+    total = rows.agg(
+        F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("docs"), F.avg(F.col("n") % window).alias("mean")
+    ).first()
     seen, texts = _in_documents(table), total["docs"]
     weight = np.log1p((texts - seen + 0.5) / (seen + 0.5)).astype(np.float32)
     held = docs.sparkSession.sparkContext.broadcast(weight)  # one number an id of the vocabulary
@@ -219,8 +343,7 @@ def pack(
         ids_col = group.column("ids").combine_chunks()
         n = group.column("n").to_numpy()
         shard = group.column("shard")[0].as_py()
-        buffers = [ids_col[i].as_buffer() for i in range(len(n))]
-        ids = [np.frombuffer(b, "<u2" if b.size == 2 * k else "<u4") for b, k in zip(buffers, n.tolist(), strict=True)]
+        ids = _unpacked(ids_col, n)
         out: list[tuple[int, int, int, int, int]] = []  # row, start, length, sequence, offset
         sequence = shard << 32
         tails, where = [], []
@@ -249,5 +372,8 @@ def pack(
         columns = [columns[0], *(pa.array(c, pa.int64()) for c in columns[1:])]
         return pa.Table.from_arrays(columns + [pa.array(parts, pa.binary())] * with_ids, names=names)
 
-    shard = F.pmod(F.xxhash64(F.col(id_col), F.crc32("ids"), F.col("n")), F.lit(shards))
-    return rows.withColumn("shard", shard).groupBy("shard").applyInArrow(run, fields)
+    if shards == 1:
+        placed = rows.withColumn("shard", F.lit(0).cast("bigint"))
+    else:
+        placed = _by_content(rows, id_col, held, max(1.0, total["mean"]), window, shards, texts)
+    return placed.groupBy("shard").applyInArrow(run, fields)

@@ -223,6 +223,29 @@ def test_packing_query(spark, sf, odd):
     assert packing.pack(odd.limit(0), BYTES_JSON).count() == 0
 
 
+def test_packing_places_subjects_together(spark):
+    """Eight subjects in many shards: windows hold one subject, and copies of one text do not fill one shard."""
+    rng = np.random.default_rng(5)
+    words = [[f"{chr(97 + s)}{chr(97 + i % 26)}{i}" for i in range(60)] for s in range(8)]
+    rows = [(i, " ".join(rng.choice(words[i % 8], 80))) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = packing.pack(docs, BYTES_JSON, shard_tokens=20_000).collect()
+    check_packing(got, rows)
+    subjects = defaultdict(lambda: defaultdict(int))
+    for r in got:
+        subjects[r["sequence_id"]][r["doc_id"] % 8] += r["length"]
+    tokens = sum(r["length"] for r in got)
+    assert len({s >> 32 for s in subjects}) > 8
+    assert sum(max(s.values()) for s in subjects.values()) > 0.85 * tokens
+    same = [(i, rows[0][1]) for i in range(800)]
+    got = packing.pack(spark.createDataFrame(same, "doc_id long, text string"), BYTES_JSON, shard_tokens=20_000).collect()
+    check_packing(got, same)
+    sizes = defaultdict(int)
+    for r in got:
+        sizes[r["sequence_id"] >> 32] += r["length"]
+    assert max(sizes.values()) < 60_000
+
+
 def test_packing_ids_are_the_pieces(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id < 40")
     for r in packing.pack(docs, BYTES_JSON, with_ids=True).collect():
