@@ -23,11 +23,26 @@ from .components import components
 from .words import Words, mixed
 
 BANDS, ROWS = 30, 6  # a pair at 0.85 is missed by all bands once in a million, at 0.9 once in 10 ** 10
+MISSED = 1e-6  # most often that all bands miss a pair that is just similar enough
 _WORDS = 1 << 18  # rows of the bitmap of ids that is broadcast
 _U = np.uint32
 _CHUNK = 1 << 16
 
 
+def layout(percent: int) -> tuple[int, int]:
+    """Bands and rows for a threshold: the most rows for which as many coordinates as at 85 are enough for MISSED.
+
+    Below 8 percent even one row needs more coordinates, and gets them.
+    """
+    fits = [(1, 1)]
+    for rows in range(1, ROWS + 1):
+        alike = min((percent / 100) ** rows, 1 - MISSED)
+        bands = math.ceil(math.log(MISSED) / math.log1p(-alike))
+        if rows == 1 or bands * rows <= BANDS * ROWS:
+            fits.append((bands, rows))
+    return fits[-1]
+
+
 def _permuted(x: np.ndarray) -> np.ndarray:
     """A fixed permutation of 32-bit integers, in place."""
     x ^= x >> _U(16)
@@ -194,8 +209,8 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     percent: int = 85,
-    bands: int = BANDS,
-    rows: int = ROWS,
+    bands: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Components of documents linked at `percent` Jaccard similarity of their sets of five-word shingles.
 
@@ -204,14 +219,15 @@ def near_duplicates(
     share an id are one document. A null id has no component and is kept. Ids must fit a long. An empty table
     gives an empty one; other columns are not read.
 
-    Equal sets are one node. In every band bucket the node that shares most buckets is the centre and is compared
+    Without bands and rows, layout gives those of the threshold. Equal sets are one node. In every band bucket the node that shares most buckets is the centre and is compared
     with all others, so a group of m copies makes m - 1 pairs, not m * m. Where these others are then not yet in
     one component, their nodes are dealt anew into buckets of their rarest shingles, which any two
     linked sets share: copies far from a centre differ from each other in rare shingles and hardly ever meet.
     Centres are compared as long as that finds links; then every node outside its bucket's largest component is
     compared with all of its bucket that are not in its own, so no two nodes stay both uncompared and apart.
     """
-    sketched = cut_lineage(sketch(docs, id_col, text_col, bands, rows))
+    fit = layout(percent)
+    sketched = cut_lineage(sketch(docs, id_col, text_col, bands or fit[0], rows or fit[1]))
     known = sketched.filter("node is not null and n_shingles > 0")
     nodes = known.groupBy("digest").agg(F.min("node").alias("rep"), F.first("bands").alias("bands"))
     nodes = cut_lineage(nodes)

@@ -13,6 +13,7 @@ from caseweave.session import cut_lineage
 
 CERTAIN = 0.5  # posterior that a language needs
 TOXIC = 0.3  # score from which a document goes
+NEAR = 80  # percent of shared five-word shingles from which two documents are near copies
 
 
 def _known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,12 +35,12 @@ def _not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are linked as near copies the one with the smallest id.
+    """Of documents that are linked as near copies (at NEAR, not at op6's 85) the one with the smallest id.
 
     Rows that repeat an id count as one document, of which the row with the smallest text stays. Rows without
     an id stay.
     """
-    found = cut_lineage(minhash.near_duplicates(docs).filter("doc_id is not null"))
+    found = cut_lineage(minhash.near_duplicates(docs, percent=NEAR).filter("doc_id is not null"))
     gone = found.filter("not kept").select("doc_id").distinct()
     repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
     touched = gone.union(repeated).select(F.col("doc_id").cast("long").alias("node"))

@@ -1,13 +1,15 @@
 """Each stage of the pipeline against plain Python on what its predecessor kept."""
 
+import itertools
+import random
 import re
 
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from caseweave.llm import langid, secret_scan, toxicity
+from caseweave.llm import langid, minhash, secret_scan, toxicity
 from caseweave.session import cut_lineage
-from test_llm_operators import brute_components, check_packing
+from test_llm_operators import brute_components, check_packing, shingles_of
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -76,3 +78,38 @@ def test_odd_rows_pass_all_stages(spark, sf):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_near_copies_from_eighty_percent(spark, sf):
+    """Texts with words changed far apart, around 0.80, against all pairs."""
+    rng = random.Random(4)
+    texts = {}
+    for group in range(40):
+        words = [f"g{group}w{i}" for i in range(rng.choice([60, 100, 140]))]
+        for copy in range(3):
+            own = list(words)
+            for place in rng.sample(range(5, len(words) - 5, 10), copy * rng.randint(1, 2)):
+                own[place] = f"x{copy}"
+            texts[3 * group + copy] = " ".join(own)
+    words = [f"w{i}" for i in range(100)]
+    texts[500], texts[501] = " ".join(words), " ".join("x" if i in (30, 60) else w for i, w in enumerate(words))
+    sets = {k: shingles_of(t) for k, t in texts.items()}
+    alike = lambda a, b: 100 * len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    pairs = {(a, b): alike(a, b) for a, b in itertools.combinations(texts, 2)}
+    assert sum(80 <= x < 85 for x in pairs.values()) > 5 and sum(70 < x < 80 for x in pairs.values()) > 5
+    low = {k: k for k in texts}
+    for _ in texts:
+        for (a, b), x in pairs.items():
+            if x >= 80:
+                low[a] = low[b] = min(low[a], low[b])
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in texts.items()],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = dict(corpus_pipeline.STAGES)["near_copies"](spark, docs, sf)
+    assert {r["doc_id"] for r in got.collect()} == {k for k, c in low.items() if k == c}
+
+
+def test_bands_follow_the_threshold():
+    assert minhash.layout(85) == (30, 6)
+    for percent in (5, 50, 80, 85, 95, 100):
+        bands, rows = minhash.layout(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 1.001e-6
