@@ -60,13 +60,38 @@ def _cut(text: Column, kind: str, pattern: str, group: int, least: int) -> Colum
     return F.transform(zipped, piece)
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
+def _around(placed: DataFrame, key: list[str], sought: dict[str, Column]) -> DataFrame:
+    """The rows with last_x, the greatest end up to their start, and next_x, the least start from their end on.
+
+    Parts that overlap the row do not count, so both ends of all rows are walked in order of place.
+    """
+    at = F.inline(F.array(F.struct(F.col("end").alias("at"), F.lit(0).alias("opens")),
+                          F.struct(F.col("start").alias("at"), F.lit(1).alias("opens"))))
+    ends = placed.select("*", at)
+    up = Window.partitionBy(*key).orderBy("at", "opens").rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*key).orderBy(F.desc("at"), F.desc("opens")).rowsBetween(Window.unboundedPreceding, -1)
+    last = {f"last_{k}": F.max(F.when(c & (F.col("opens") == 0), F.col("end"))).over(up) for k, c in sought.items()}
+    following = {f"next_{k}": F.min(F.when(c & (F.col("opens") == 1), F.col("start"))).over(down) for k, c in sought.items()}
+    walked = ends.withColumns(last | following)
+    return walked.groupBy(*placed.columns).agg(
+        *(F.max(F.when(F.col("opens") == 1, F.col(c))).alias(c) for c in last),
+        *(F.max(F.when(F.col("opens") == 0, F.col(c))).alias(c) for c in following),
+    )
+
+
+def find_secrets(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, apart: bool = False
+) -> DataFrame:
     """One row for each input row: id_col, text_hash and spans, an array of (kind, start, end), in order of start
     and kind (as listed in KINDS). Code points, end exclusive.
 
     Null and empty texts have no spans. Rows equal in id and text have equal results, as often as they occur; a
     null id is an id like any other. An empty table gives an empty one; other columns are not read.
     Texts are not shuffled, only the lengths of matches and gaps; everything is linear in their number.
+
+    With `apart`, a part completes only candidates that it does not overlap, and an opaque run inside an endpoint
+    is no secret for others and needs an identifier or a secret elsewhere. Without it, as in the SQL of op3, a
+    part that overlaps a candidate completes it.
     """
     text = F.coalesce(text_col, F.lit(""))
     none = "cast(array() as array<struct<kind:string,i:int,gap:int,hit:int,counts:boolean>>)"
@@ -101,9 +126,12 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     before = Window.partitionBy(*key).orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(*key).orderBy(F.desc("start"), F.desc("rank")).rowsBetween(Window.unboundedPreceding, -1)
     is_base = F.col("kind").isin(*BASE)
+    upto = F.max(F.when(F.col("kind") == "endpoint", F.col("end"))).over(before)
+    inside = (F.col("kind") == "opaque") & (F.coalesce(upto, F.lit(0)) >= F.col("end")) & F.lit(apart)
+    placed = placed.withColumn("inside", inside)
     parts = {
         "identifier": F.col("kind").isin("access", "client"),
-        "secret": F.col("kind").isin("assign", "hex", "opaque"),
+        "secret": F.col("kind").isin("assign", "hex", "opaque") & ~F.col("inside"),
         "endpoint": F.col("kind") == "endpoint",
     }
     last = {k: F.max(F.when(c, F.col("end"))).over(before) for k, c in (parts | {"base": is_base}).items()}
@@ -113,6 +141,10 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     seen = placed.withColumns({f"last_{k}": v for k, v in last.items()}).withColumns(
         {f"next_{k}": v for k, v in following.items()}
     )
+    if apart:
+        # what overlaps a base span is still told by the running extremes above
+        scope = {"scope": F.col("kind") == "|"}
+        seen = _around(seen.drop(*(f"{x}_{k}" for k in [*parts, "scope"] for x in ("last", "next"))), key, parts | scope)
 
     def near(kind: str) -> Column:
         """A part of this kind before or behind, in the same scope and within reach."""
@@ -128,7 +160,10 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     linked = (
         ((F.col("kind") == "client") & near("secret"))
-        | ((F.col("kind") == "opaque") & (near("identifier") | near("endpoint")))
+        | (
+            (F.col("kind") == "opaque")
+            & (near("identifier") | F.when(F.col("inside"), near("secret")).otherwise(near("endpoint")))
+        )
         | ((F.col("kind") == "endpoint") & near("identifier") & near("secret"))
     )
     kept = seen.withColumn("keep", is_base | (linked & ~inside_base))
@@ -146,13 +181,15 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ).drop("_copy")
 
 
-def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
+def redacted(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, apart: bool = True
+) -> DataFrame:
     """The rows of docs with every span in the text replaced by its kind in brackets; all columns stay.
 
     Overlapping spans become one, named after the first. Rows without spans stay as they are.
     """
     key = ["__id", "__hash"]
-    found = find_secrets(docs, id_col, text_col, reach).filter(F.size("spans") > 0)
+    found = find_secrets(docs, id_col, text_col, reach, apart).filter(F.size("spans") > 0)
     found = found.dropDuplicates([id_col, "text_hash"]).select(
         F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"), F.posexplode("spans").alias("i", "s")
     )
