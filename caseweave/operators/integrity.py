@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,16 +15,45 @@ from ..functions import hashing, vocab
 from ..session import cut_lineage
 from .ordered import linked
 
+
 def listing_hash(df: DataFrame, keys: list[str], label: str, digest: str) -> DataFrame:
     """Digest over the one sorted listing of (label, digest) pairs of a group, as the reference writes it.
 
-    A group is listed in one task: for groups that fit one. set_hash has no such bound.
+    The listing is never held: sorted rows stream through the digest, so a group of any size fits in memory. One
+    SHA-256 is one chain, so a group is still read by one task; set_hash has no such bound.
     """
+    line = F.concat(F.col("label"), F.lit(hashing.UNIT), F.col("digest"), F.lit(hashing.RECORD))
     rows = df.select(*keys, F.col(label).cast("string").alias("label"), F.col(digest).alias("digest"))
-    return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_members"),
-        hashing.pairs_digest(F.collect_list(F.struct("label", "digest"))).alias("set_hash"),
-    )
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "label", "digest")
+    names = [*keys, "n_members", "set_hash"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, count, chain = None, 0, None
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*key, pa.array([count]), pa.array([chain.hexdigest()])], names=names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lines = pc.fill_null(batch.column(len(keys)), "").cast(pa.large_binary())
+            offsets = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+            data = memoryview(lines.buffers()[2] or b"")
+            codes = [batch.column(k).dictionary_encode("encode").indices.to_numpy(False) for k in range(len(keys))]
+            heads = np.flatnonzero(np.any([c[1:] != c[:-1] for c in codes], axis=0)) + 1
+            for lo, hi in zip([0, *heads.tolist()], [*heads.tolist(), batch.num_rows], strict=True):
+                own = [batch.column(k).slice(lo, 1) for k in range(len(keys))]
+                if chain is None or [x[0].as_py() for x in own] != [x[0].as_py() for x in key]:
+                    if chain is not None:
+                        yield told()
+                    key, count, chain = own, 0, hashlib.sha256()
+                count += hi - lo
+                chain.update(data[offsets[lo] : offsets[hi]])
+        if chain is not None:
+            yield told()
+
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    return rows.select(*keys, line.alias("line")).mapInArrow(run, f"{kinds}, n_members bigint, set_hash string")
 
 
 def set_hash(df: DataFrame, keys: list[str], label: str, digest: str) -> DataFrame:

@@ -688,3 +688,24 @@ def test_unresolved_blockers(spark):
     done = spark.createDataFrame([("c", "b")], "case_id string, issue_id string")
     row = review.blocker_summary(v, done).first()
     assert (row.total, row.open, row.open_critical, row.open_high) == (3, 1, 1, 0)
+
+
+def test_listing_streams_through_its_digest(spark):
+    """No task holds a listing: rows come sorted, in batches smaller than a group, and give the same digest."""
+    rows = [(f"c{i % 3}" if i % 3 else None, f"é{i:05d}" if i % 50 else None, f"h{i}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "case_id string, ref string, hash string").repartition(5)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = integrity.listing_hash(df, ["case_id"], "ref", "hash")
+        got = {r["case_id"]: (r["n_members"], r["set_hash"]) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    want = {}
+    for case in {r[0] for r in rows}:
+        own = sorted((r[1], r[2]) for r in rows if r[0] == case and r[1] is not None)
+        text = "".join(f"{a}\x1f{b}\x1e" for a, b in own)
+        want[case] = (sum(r[0] == case for r in rows), hashlib.sha256(text.encode()).hexdigest())
+    assert got == want
+    assert integrity.listing_hash(df.limit(0), ["case_id"], "ref", "hash").count() == 0
