@@ -460,7 +460,7 @@ def _reply():
                 out.append("I cannot say {oops")
             else:
                 word = "biographical" if n > 2000 else "work_context_only" if n > 1000 else "maybe"
-                body = json.dumps({"durant_verdict": word, "rationale": p[:700], "confidence": 1.5 if n > 3000 else "0.25", "is_about_requester": "yes"})
+                body = json.dumps({"durant_verdict": word, "rationale": p, "confidence": 1.5 if n > 3000 else "0.25", "is_about_requester": "yes"})
                 out.append(f"```json\n{body}\n```" if n > 1500 else f"Here: {body} done")
         return out
 

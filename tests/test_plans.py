@@ -53,3 +53,14 @@ def test_scans_are_pruned_and_filters_pushed(spark, sf):
     assert re.search(r"PushedFilters: \[.*GreaterThan\(n_chars,3000\)", text)
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert "text" not in schema and "lang" not in schema
+
+
+def test_stand_in_model_answers_from_the_whole_text():
+    """The limit of a rationale is the coercion's, not the model's."""
+    import json
+
+    from caseweave.plans.scope_queries import _reply
+
+    text = "word " * 1000 + "end"
+    reply = _reply()([text])[0]
+    assert json.loads(reply[reply.index("{") : reply.rindex("}") + 1])["rationale"] == text
