@@ -409,9 +409,6 @@ def fitness_lookup(spark, d):
 
 # ---- digests and chains ----------------------------------------------------
 
-PAIR = "string_agg(ref || chr(31) || sha256(text) || chr(30), '' order by ref)"
-
-
 def _tree(rows: str, label: str, digest: str) -> str:
     """CTEs leaf, node and tree: the fixed-depth digest of (case_id, label, digest) rows."""
     return f""", leaf as (select case_id, sha256({label})[1:6] as p, count(*) as n, sha256(string_agg({label} || chr(31) || {digest} || chr(30), '' order by {label})) as h from {rows} group by 1, 2),
@@ -420,18 +417,18 @@ def _tree(rows: str, label: str, digest: str) -> str:
     """
 
 
-@query("set_hash", with_("docs") + f"select case_id, count(*) as n_members, sha256({PAIR}) as set_hash from docs group by 1")
-def set_hash(spark, d):
-    """The listing digest, as the reference writes it."""
-    return integrity.listing_hash(st.register(spark, d).select("case_id", "ref", "hash"), ["case_id"], "ref", "hash")
-
-
 @query("set_hash_tree", with_("docs") + _tree("docs", "ref", "sha256(text)") + "select * from tree")
 def set_hash_tree(spark, d):
     """The digest of one form at every size."""
     return integrity.set_hash(st.register(spark, d).select("case_id", "ref", "hash"), ["case_id"], "ref", "hash")
 
 
+@query("set_hash", with_("docs") + _tree("docs", "ref", "sha256(text)") + "select * from tree")
+def set_hash(spark, d):
+    """The set digest of a case's register, as a tree: no task reads a whole case."""
+    return set_hash_tree(spark, d)
+
+
 @query(
     "stage_hashes",
     with_("docs") + _tree("docs", "ref", "sha256(text)")

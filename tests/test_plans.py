@@ -5,11 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from caseweave.operators import dedupe, latest
 from caseweave.plans import standins as st
+from caseweave.plans.catalogue import QUERIES
 
 PYTHON_STAGES = {"rerank_shadow", "rerank_enforce", "reply_coercion", "context_coercion", "embed_documents", "text_clean"}
+PYTHON_NODE = re.compile(r"\w*(?:InPandas|InArrow|EvalPython|PythonUDTF|PythonRunner|PythonUDF)\w*")
 WRITES = {"stream_projection", "stream_funnel", "stream_latest_decision", "stream_gaps"}
 TOP_K = ["vector_search", "people_top_n", "recent_kinds", "first_findings", "walkthrough_sample", "calibration_sample", "next_best_review", "top_changes", "dual_juror"]
 
@@ -18,17 +19,17 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_no_cross_joins_and_python_only_for_models(spark, sf, name):
-    text = plan(queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    has_python = re.search(r"MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroups", text) is not None
-    assert has_python == (name in PYTHON_STAGES)
+    found = set(PYTHON_NODE.findall(text))
+    assert bool(found) == (name in PYTHON_STAGES), found
 
 
 @pytest.mark.parametrize("name", TOP_K)
 def test_top_k_is_limited_before_the_shuffle(spark, sf, name):
-    text = plan(queries()[name](spark, sf))
+    text = plan(QUERIES[name](spark, sf))
     assert "WindowGroupLimit" in text and "Partial" in text
 
 
@@ -64,3 +65,23 @@ def test_stand_in_model_answers_from_the_whole_text():
     text = "word " * 1000 + "end"
     reply = _reply()([text])[0]
     assert json.loads(reply[reply.index("{") : reply.rindex("}") + 1])["rationale"] == text
+
+
+def test_every_python_node_is_seen(spark):
+    """The test above must not be blind to a way of running Python."""
+    import pyarrow as pa
+
+    rows = spark.range(4).withColumn("g", F.col("id") % 2)
+    same = lambda batches: batches
+    plus = F.pandas_udf(lambda x: x + 1, "long")
+    grouped = rows.groupBy("g")
+    kept = lambda table: table
+    both = lambda a, b: pa.concat_tables([a, b])
+    plans = [
+        rows.mapInPandas(same, rows.schema), rows.mapInArrow(same, rows.schema), rows.select(plus("id")),
+        rows.select(F.udf(lambda x: x, "long")("id")), grouped.applyInPandas(kept, rows.schema), grouped.applyInArrow(kept, rows.schema),
+        grouped.cogroup(rows.groupBy("g")).applyInPandas(both, rows.schema), grouped.cogroup(rows.groupBy("g")).applyInArrow(both, rows.schema),
+    ]
+    for df in plans:
+        assert PYTHON_NODE.search(plan(df)), plan(df)
+    assert not PYTHON_NODE.search(plan(grouped.count()))
