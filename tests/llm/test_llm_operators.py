@@ -284,7 +284,7 @@ def shingles_of(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute_components(texts):
+def brute_components(texts, percent=85):
     sets = {k: shingles_of(t) for k, t in texts.items()}
     low = {k: k for k in texts}
 
@@ -295,7 +295,7 @@ def brute_components(texts):
 
     for a, b in itertools.combinations(sorted(texts), 2):
         both = len(sets[a] & sets[b])
-        if both and 100 * both >= 85 * len(sets[a] | sets[b]):
+        if both and 100 * both >= percent * len(sets[a] | sets[b]):
             x, y = sorted((root(a), root(b)))
             low[y] = x
     return {k: (len(sets[k]), root(k)) for k in texts}

@@ -47,7 +47,7 @@ def test_stages_one_by_one(spark, sf):
     assert set(rows(clean)) == {k for k, r in scored.items() if r["score"] < 0.3}
 
     single = cut_lineage(stages["near_copies"](spark, clean, sf))
-    found = brute_components({k: r["text"] for k, r in rows(clean).items()})
+    found = brute_components({k: r["text"] for k, r in rows(clean).items()}, percent=corpus_pipeline.NEAR)
     assert set(rows(single)) == {k for k, (_, c) in found.items() if k == c}
 
     safe = cut_lineage(stages["secrets"](spark, single, sf))
