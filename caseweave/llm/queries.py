@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_pairs, chat, fingerprints, langid, minhash, packing, secret_scan, token_counts, topk, toxicity
+from . import byte_pairs, chat, fingerprints, langid, line_runs, minhash, packing, secret_scan, token_counts, topk, toxicity
 from .sql import SQL  # noqa: F401
 
 
@@ -129,10 +129,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs.dedup_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_segment_topk, op2_language_id, op3_secret_links, op4_fingerprints, op5_retrieval_packing,
-        op6_minhash_dedup, op7_byte_bpe, op8_chat_format, op9_toxicity, op10_token_counts,
+        op6_minhash_dedup, op7_byte_bpe, op8_chat_format, op9_toxicity, op10_token_counts, op11_line_dedup,
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, fingerprints, secret_scan
+from . import chat, fingerprints, line_runs, secret_scan
 
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -136,10 +136,26 @@ select conv_id, count(*) as n_turns,
 from t group by conv_id
 """
 
+_LINES = f"""
+with l as (
+    select rid, doc_id, unnest(range(1, len(ls) + 1)) as pos, unnest(ls) as line
+    from (select row_number() over () as rid, doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents)
+),
+k as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_CAPITALS}', '{_SMALL}') as key from l
+),
+s as (select key, min(doc_id) as owner from k where length(key) >= {line_runs.LEAST_CHARS} group by key having count(distinct doc_id) > 1),
+m as (select k.*, owner is not null and doc_id > owner as gone from k left join s using (key))
+select any_value(doc_id) as doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from m group by rid
+"""
+
 SQL: dict[str, str] = {
     "op1_segment_topk": _TOP_K,
     "op3_secret_links": _secrets(),
     "op4_fingerprints": _FINGERPRINTS,
     "op6_minhash_dedup": _NEAR_COPIES,
     "op8_chat_format": _CHATS,
+    "op11_line_dedup": _LINES,
 }
