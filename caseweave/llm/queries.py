@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_pairs, chat, fingerprints, langid, line_runs, minhash, packing, secret_scan, token_counts, topk, toxicity
+from . import byte_pairs, chat, fingerprints, langid, line_runs, minhash, packing, secret_scan, token_counts, topk, toxicity, whitening
 from .sql import SQL  # noqa: F401
 
 
@@ -134,10 +134,25 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, model, error = whitening.whitened_rows(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1024, 100_000)
+    shares = F.array(*(F.lit(float(v / model.trace)) for v in model.values)).cast("array<double>")
+    every = found.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return every.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_segment_topk, op2_language_id, op3_secret_links, op4_fingerprints, op5_retrieval_packing,
-        op6_minhash_dedup, op7_byte_bpe, op8_chat_format, op9_toxicity, op10_token_counts, op11_line_dedup,
+        op6_minhash_dedup, op7_byte_bpe, op8_chat_format, op9_toxicity, op10_token_counts, op11_line_dedup, op12_whitening,
     )
 }
