@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_pairs, chat, fingerprints, langid, line_runs, minhash, packing, secret_scan, token_counts, topk, toxicity, whitening
+from . import (
+    byte_pairs, chat, fingerprints, hard_negatives, langid, line_runs, minhash, packing, secret_scan, token_counts, topk,
+    toxicity, vectors, whitening,
+)
 from .sql import SQL  # noqa: F401
 
 
@@ -149,10 +152,19 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").filter("vec_id is not null and label is not null")
+    rows = vectors.whole(rows.select("vec_id", moved.alias("label"), "embedding"), "embedding", 256)
+    rows = rows.select(F.col("vec_id").cast("long").alias("id"), "label", "x")
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_segment_topk, op2_language_id, op3_secret_links, op4_fingerprints, op5_retrieval_packing,
         op6_minhash_dedup, op7_byte_bpe, op8_chat_format, op9_toxicity, op10_token_counts, op11_line_dedup, op12_whitening,
+        op13_hard_negatives,
     )
 }

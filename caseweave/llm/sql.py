@@ -151,6 +151,31 @@ select any_value(doc_id) as doc_id, count(*) as n_lines, count(*) filter (gone)
 from m group by rid
 """
 
+_NEGATIVES = """
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and coalesce(list_aggregate(list_transform(embedding, lambda x: x is not null and isfinite(x)), 'bool_and'), false)
+),
+a as (select row_number() over () as key, * from (select distinct * from v where vec_id % 100 = 0)),
+s as (
+    select distinct a.key, a.vec_id as anchor_id, c.vec_id as id, a.label = c.label as same, list_inner_product(a.v, c.v)::bigint as score
+    from a join v c on len(a.v) = len(c.v) and (a.vec_id <> c.vec_id or a.label <> c.label)
+),
+p as (
+    select key, anchor_id, id as positive_id, score as positive_score from (
+        select *, row_number() over (partition by key order by score desc, id) as r from s where same and anchor_id <> id)
+    where r <= 5
+),
+n as (
+    select p.*, s.id as negative_id, s.score as negative_score,
+           (row_number() over (partition by p.key, positive_id, positive_score order by s.score desc, s.id))::int as rank
+    from p join s on s.key = p.key and not s.same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op1_segment_topk": _TOP_K,
     "op3_secret_links": _secrets(),
@@ -158,4 +183,5 @@ SQL: dict[str, str] = {
     "op6_minhash_dedup": _NEAR_COPIES,
     "op8_chat_format": _CHATS,
     "op11_line_dedup": _LINES,
+    "op13_hard_negatives": _NEGATIVES,
 }
