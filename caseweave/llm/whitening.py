@@ -47,23 +47,38 @@ def _centred(x: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
     return (x - np.array([q for q, _ in parts], np.int64)) - np.array([r / n for _, r in parts])
 
 
-def _summed(rows: DataFrame, add: Callable[[np.ndarray], np.ndarray], size: int, kind: str) -> list:
-    """Sum of add(chunk) over all chunks of rows: an array of `size` numbers.
+def in_chunks(rows: DataFrame) -> DataFrame:
+    """The vectors of `rows` (one column of arrays of one length) as a table of chunks: d and their bytes.
 
-    rows: one column of arrays. Each task sends its own sums, which are added by position, so what is shuffled is
-    `size` rows a task, and the driver gets `size` rows.
+    Every product reads all vectors again. A chunk is one value for Spark, so that costs little more than the bytes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
-                part = add(matrix(batch.column(0).slice(at, CHUNK)))
+                x = matrix(batch.column(0).slice(at, CHUNK)).astype("<i8")
+                yield pa.RecordBatch.from_arrays([pa.array([x.shape[1]], pa.int64()), pa.array([x.tobytes()])], names=["d", "chunk"])
+
+    return cut_lineage(rows.mapInArrow(run, "d bigint, chunk binary"))
+
+
+def _summed(chunks: DataFrame, add: Callable[[np.ndarray], np.ndarray], size: int, kind: str) -> list:
+    """Sum of add(chunk) over all chunks: an array of `size` numbers.
+
+    Each task sends its own sums, which are added by position, so what is shuffled is `size` rows a task, and the
+    driver gets `size` rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for d, chunk in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                part = add(np.frombuffer(chunk.as_buffer(), "<i8").reshape(-1, d))
                 total = part if total is None else total + part
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["i", "v"])
 
-    found = rows.mapInArrow(run, f"i bigint, v {kind}").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    found = chunks.mapInArrow(run, f"i bigint, v {kind}").groupBy("i").agg(F.sum("v").alias("v")).collect()
     out = [0] * size
     for r in found:
         out[r["i"]] = r["v"]
@@ -73,24 +88,23 @@ def _summed(rows: DataFrame, add: Callable[[np.ndarray], np.ndarray], size: int,
 def fit(rows: DataFrame, k: int = COMPONENTS, name: str = "x") -> Whitening:
     """The k leading components of the covariance of integer vectors (divisor n), to double precision.
 
-    rows: the column `name`, arrays of long of one length; it is read once for each product, so it should be a
-    table. Components without variance (eigenvalue at most d * EPS of the largest) are left out: there are fewer
+    rows: the column `name`, arrays of long of one length. Components without variance (eigenvalue at most d * EPS of the largest) are left out: there are fewer
     than k of them for vectors of fewer dimensions or rank, and none for a single row or equal rows.
     """
-    rows = rows.select(name)
-    n = rows.count()
-    if not n:
+    chunks = in_chunks(rows.select(name))
+    found = chunks.first()
+    if not found:
         return Whitening(0, [], np.empty(0), np.empty((0, 0)), 0.0)
-    d = len(rows.first()[0])
-    sums = [int(s) for s in _summed(rows, lambda x: x.sum(axis=0), d, "bigint")]
-    trace = float(_summed(rows, lambda x: np.array([np.sum(_centred(x, n, sums) ** 2)]), 1, "double")[0]) / n
+    d = found["d"]
+    n, *sums = (int(s) for s in _summed(chunks, lambda x: np.r_[len(x), x.sum(axis=0)], d + 1, "bigint"))
+    trace = float(_summed(chunks, lambda x: np.array([np.sum(_centred(x, n, sums) ** 2)]), 1, "double")[0]) / n
 
     def product(block: np.ndarray) -> np.ndarray:
         def add(x: np.ndarray) -> np.ndarray:
             c = _centred(x, n, sums)
             return (c.T @ (c @ block)).ravel()
 
-        return np.array(_summed(rows, add, block.size, "double"), np.float64).reshape(block.shape) / n
+        return np.array(_summed(chunks, add, block.size, "double"), np.float64).reshape(block.shape) / n
 
     values, vectors, products = leading_pairs(product, d, k)
     good = values > d * EPS * max(values[0], 0.0)
@@ -146,7 +160,7 @@ def identity_error(rows: DataFrame, model: Whitening, name: str = "x") -> float:
         w = model.centred(x) @ model.vectors / scales
         return np.concatenate([w.sum(axis=0), (w.T @ w).ravel()])
 
-    both = np.array(_summed(rows.select(name), add, k + k * k, "double"), np.float64) / model.n
+    both = np.array(_summed(in_chunks(rows.select(name)), add, k + k * k, "double"), np.float64) / model.n
     mean, second = both[:k], both[k:].reshape(k, k)
     return float(np.abs(second - np.outer(mean, mean) - np.eye(k)).max())
 
