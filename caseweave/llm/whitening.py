@@ -85,14 +85,13 @@ def _summed(chunks: DataFrame, add: Callable[[np.ndarray], np.ndarray], size: in
     return out
 
 
-def fit(rows: DataFrame, k: int = COMPONENTS, name: str = "x") -> Whitening:
+def fit(chunks: DataFrame, k: int = COMPONENTS) -> Whitening:
     """The k leading components of the covariance of integer vectors (divisor n), to double precision.
 
-    rows: the column `name`, arrays of long of one length. Components without variance (eigenvalue at most d * EPS of the largest) are left out: there are fewer
+    chunks: the vectors, from in_chunks. Components without variance (eigenvalue at most d * EPS of the largest) are left out: there are fewer
     than k of them for vectors of fewer dimensions or rank, and none for a single row or equal rows.
     """
-    chunks = in_chunks(rows.select(name))
-    found = chunks.first()
+    found = chunks.select("d").first()
     if not found:
         return Whitening(0, [], np.empty(0), np.empty((0, 0)), 0.0)
     d = found["d"]
@@ -150,7 +149,7 @@ def whiten(rows: DataFrame, model: Whitening, carry: tuple[str, ...] = (), name:
     return rows.select(*(F.col(f"`{c}`") for c in carry), name).mapInArrow(run, fields)
 
 
-def identity_error(rows: DataFrame, model: Whitening, name: str = "x") -> float:
+def identity_error(chunks: DataFrame, model: Whitening) -> float:
     """Largest absolute entry of the covariance of all whitened rows minus the identity; 0 without components."""
     k, scales = len(model.values), np.sqrt(model.values)
     if not k:
@@ -160,7 +159,7 @@ def identity_error(rows: DataFrame, model: Whitening, name: str = "x") -> float:
         w = model.centred(x) @ model.vectors / scales
         return np.concatenate([w.sum(axis=0), (w.T @ w).ravel()])
 
-    both = np.array(_summed(in_chunks(rows.select(name)), add, k + k * k, "double"), np.float64) / model.n
+    both = np.array(_summed(chunks, add, k + k * k, "double"), np.float64) / model.n
     mean, second = both[:k], both[k:].reshape(k, k)
     return float(np.abs(second - np.outer(mean, mean) - np.eye(k)).max())
 
@@ -178,5 +177,6 @@ def whitened_rows(
     rows = rows.select(F.col(f"`{id_col}`"), "__x")
     d, _ = commonest_length(rows, "__x")
     rows = cut_lineage(rows.filter(F.size("__x") == d))
-    model = fit(rows, k, "__x")
-    return whiten(rows, model, (id_col,), "__x"), model, identity_error(rows, model, "__x")
+    chunks = in_chunks(rows.select("__x"))
+    model = fit(chunks, k)
+    return whiten(rows, model, (id_col,), "__x"), model, identity_error(chunks, model)
