@@ -37,6 +37,35 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+CHUNK = 512
+
+
+def running(values: Column) -> Column:
+    """For each number of an array the sum of those before it, and at the end the sum of all.
+
+    Chunks are summed one by one and then moved by the sums of the chunks before them: an append copies a chunk,
+    never the whole array.
+    """
+
+    def sums(part: Column) -> Column:
+        seed = F.struct(F.lit(0).alias("pos"), empty("int").alias("out"))
+        return F.aggregate(
+            part, seed, lambda acc, x: F.struct((acc["pos"] + x).alias("pos"), F.array_append(acc["out"], acc["pos"]).alias("out"))
+        )
+
+    def moved(parts: Column) -> Column:
+        ends = F.transform(parts, lambda p: p["pos"])
+        return let(sums(ends), lambda before: F.array_append(
+            F.flatten(F.zip_with(parts, before["out"], lambda p, at: F.transform(p["out"], lambda x: x + at))), before["pos"]
+        ))
+
+    def cut(held: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor(F.size(held) / CHUNK).cast("int"))
+        return F.transform(chunks, lambda k: sums(F.slice(held, k * CHUNK + 1, F.lit(CHUNK))))
+
+    return let(values, lambda held: let(cut(held), moved))
+
+
 def _walk(gaps: Column, hits: Column, kind: Column | str) -> Column:
     """Turn the pieces between hits plus the hits themselves into offset spans."""
     label = F.lit(kind) if isinstance(kind, str) else kind
@@ -44,21 +73,19 @@ def _walk(gaps: Column, hits: Column, kind: Column | str) -> Column:
         gaps, hits, lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), hit.alias("hit"))
     )
 
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["pos"] + pair["gap"]
-        end = start + F.char_length(pair["hit"])
-        span = F.struct(
-            start.alias("start"), end.alias("end"), pair["hit"].alias("text"), label.alias("type")
-        )
-        # the last piece has no hit after it
-        more = pair["hit"].isNotNull()
+    def shaped(before: Column, pair: Column) -> Column:
+        start = before + pair["gap"]
         return F.struct(
-            F.when(more, end).otherwise(start).alias("pos"),
-            F.when(more, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"),
+            start.alias("start"), (start + F.char_length(pair["hit"])).alias("end"), pair["hit"].alias("text"), label.alias("type")
         )
 
-    seed = F.struct(F.lit(0).alias("pos"), empty(SPAN).alias("out"))
-    return F.aggregate(pairs, seed, step, lambda acc: acc["out"])
+    def spans_of(held: Column) -> Column:
+        widths = F.transform(held, lambda p: p["gap"] + F.coalesce(F.char_length(p["hit"]), F.lit(0)))
+        # the last piece has no hit after it, and running sums have one number more than there are pieces
+        whole = F.zip_with(F.slice(running(widths), F.lit(1), F.size(held) - 1), F.slice(held, F.lit(1), F.size(held) - 1), shaped)
+        return F.when(F.size(held) > 1, whole).otherwise(empty(SPAN))
+
+    return let(pairs, spans_of)
 
 
 def pattern_spans(text: Column, pattern: str, kind: str, guard: Column | None = None) -> Column:
@@ -84,19 +111,16 @@ def needle_spans(low: Column, needle: Column, kind: Column | str) -> Column:
     gaps = F.split(low, F.concat(F.lit("\\Q"), quoted, F.lit("\\E")), -1)
     width = F.char_length(needle)
 
-    def step(acc: Column, gap: Column) -> Column:
-        start = acc["pos"] + F.char_length(gap)
-        span = F.struct(
-            start.alias("start"), (start + width).alias("end"), needle.alias("text"), label.alias("type")
-        )
-        return F.struct(
-            (start + width).alias("pos"), F.array_append(acc["out"], span).alias("out")
-        )
+    def shaped(before: Column, gap: Column) -> Column:
+        start = before + F.char_length(gap)
+        return F.struct(start.alias("start"), (start + width).alias("end"), needle.alias("text"), label.alias("type"))
+
+    def spans_of(held: Column) -> Column:
+        widths = F.transform(held, lambda gap: F.char_length(gap) + width)
+        # the piece after the last hit adds one span too many
+        return F.slice(F.zip_with(F.slice(running(widths), F.lit(1), F.size(held)), held, shaped), F.lit(1), F.size(held) - 1)
 
-    seed = F.struct(F.lit(0).alias("pos"), empty(SPAN).alias("out"))
-    # the piece after the last hit adds one span too many
-    found = F.aggregate(gaps, seed, step, lambda acc: F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1))
-    return F.when(width > 0, found).otherwise(empty(SPAN))
+    return F.when(width > 0, let(gaps, spans_of)).otherwise(empty(SPAN))
 
 
 def contact_spans(text: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import spans, text as tx
+from . import needles
 
 ENTITY = (
     "struct<start:int,end:int,text:string,type:string,source:string,"
@@ -50,74 +51,81 @@ def classify(value: Column, model_class: Column, subject_ids: Column, protected:
     )
 
 
-def build_tags(docs: DataFrame, subjects: DataFrame, model_entities: DataFrame | None = None) -> DataFrame:
+def build_tags(
+    docs: DataFrame, subjects: DataFrame, model_entities: DataFrame | None = None, cases: list[str] | None = None
+) -> DataFrame:
     """Entity array per document from the model layer and the deterministic layer.
 
     docs: case_id, ref, text. subjects: output of subject_identifiers. model_entities:
     case_id, ref, found array<struct<text,type,classification>>; where the documents carry
     `found` themselves no join, and no shuffle of the texts, is needed. Every occurrence of a model
-    entity is located in the text; one (start, end, text) is kept once, first layer first.
-    Contact details that are not the subject's own default to third_party / redact.
+    entity is located in the text, all entities of a document in one walk; one (start, end, text) is kept once,
+    first layer first. Contact details that are not the subject's own default to third_party / redact.
+    `cases` keeps only those cases: the walk is a barrier that a later filter does not pass, this one reaches the scan.
     """
     none = spans.empty("struct<text:string,type:string,classification:string>")
+    if cases is not None:
+        docs, subjects = (x.filter(F.col("case_id").isin(*cases)) for x in (docs, subjects))
     rows = docs.join(subjects, "case_id", "left").withColumns(
         {
             "subject_ids": F.coalesce("subject_ids", spans.empty("string")),
             "protected": F.coalesce("protected", spans.empty("string")),
         }
     )
-    if "found" in docs.columns:
-        rows = rows.withColumn("found", spans.once(F.coalesce("found", none)))
-    elif model_entities is None:
-        rows = rows.withColumn("found", none)
-    else:
-        rows = rows.join(model_entities.select("case_id", "ref", "found"), ["case_id", "ref"], "left")
-        rows = rows.withColumn("found", F.coalesce("found", none))
-    text, ids, shield = F.col("text"), F.col("subject_ids"), F.col("protected")
-
-    def shape(span: Column, value: Column, kind: Column, source: str, label: Column) -> Column:
-        return F.struct(
-            span["start"].alias("start"),
-            span["end"].alias("end"),
-            value.alias("text"),
-            kind.alias("type"),
-            F.lit(source).alias("source"),
-            label["classification"].alias("classification"),
-            label["redact"].alias("redact"),
-        )
+    if "found" not in docs.columns:
+        if model_entities is None:
+            rows = rows.withColumn("found", none)
+        else:
+            rows = rows.join(model_entities.select("case_id", "ref", "found"), ["case_id", "ref"], "left")
+    ids, shield = F.col("subject_ids"), F.col("protected")
 
     def from_model(entity: Column) -> Column:
-        value = tx.strip(entity["text"])
-        label = classify(value, entity["classification"], ids, shield)
-        hits = spans.needle_spans(F.col("low"), value, "model")
-        return F.transform(
-            F.when(F.char_length(value) >= 2, hits).otherwise(spans.empty(spans.SPAN)),
-            lambda s: shape(s, value, F.concat(F.lit("llm_"), F.coalesce(entity["type"], F.lit("other"))), "model", label),
-        )
-
-    def from_pattern(span: Column) -> Column:
-        same = F.filter(F.col("found"), lambda e: F.lower(e["text"]) == F.lower(span["text"]))
+        def shaped(value: Column) -> Column:
+            label = classify(value, entity["classification"], ids, shield)
+            return F.struct(
+                value.alias("value"),
+                F.when(F.char_length(value) >= 2, spans.folded(value)).alias("low"),
+                F.concat(F.lit("llm_"), F.coalesce(entity["type"], F.lit("other"))).alias("type"),
+                label["classification"].alias("classification"),
+                label["redact"].alias("redact"),
+            )
+
+        return spans.let(tx.strip(entity["text"]), shaped)
+
+    def from_pattern(span: Column, found: Column) -> Column:
+        same = F.filter(found, lambda e: F.lower(e["text"]) == F.lower(span["text"]))
         label = classify(span["text"], F.try_element_at(same, F.lit(-1))["classification"], ids, shield)
         own = label["classification"] == "data_subject"
-        fixed = F.struct(
+        return F.struct(
+            span["start"].alias("start"), span["end"].alias("end"), span["text"].alias("text"), span["type"].alias("type"),
+            F.lit("regex").alias("source"),
             F.when(own, "data_subject").otherwise("third_party").alias("classification"),
             F.when(own, "preserve").otherwise("redact").alias("redact"),
         )
-        return shape(span, span["text"], span["type"], "regex", fixed)
 
-    rows = rows.withColumns(
-        {"contact": spans.once(spans.contact_spans(text)), "low": spans.once(spans.folded(text))}
-    )
-    layered = F.concat(
-        F.flatten(F.transform("found", from_model)), F.transform("contact", from_pattern)
+    both = spans.let(
+        F.coalesce("found", none),
+        lambda found: F.struct(
+            F.transform(found, from_model).alias("model"),
+            F.transform(spans.contact_spans(F.col("text")), lambda s: from_pattern(s, found)).alias("contact"),
+        ),
     )
-    rows = rows.withColumn("all_", spans.once(layered)).withColumn("keys_", spans.once(F.transform("all_", _key)))
-    unique = F.filter("all_", lambda e, i: F.array_position("keys_", _key(e)) == i + 1)
-    return with_counts(rows.select("case_id", "ref", spans.once(unique).alias("entities")))
+    rows = rows.select("case_id", "ref", both.alias("layers"), spans.folded(F.col("text")).alias("low"))
+    rows = rows.select("case_id", "ref", "low", F.col("layers.model").alias("model"), F.col("layers.contact").alias("contact"))
+    wanted = F.transform("model", lambda e: F.struct(e["value"].alias("value"), e["low"].alias("low")))
+    fixed = F.transform("contact", lambda s: F.struct(s["start"].alias("start"), s["text"].alias("text")))
+    walked = needles.locate(rows, "low", wanted, fixed)
 
+    def placed(entity: Column, starts: Column) -> Column:
+        return F.transform(starts, lambda at: F.struct(
+            at.alias("start"), (at + F.char_length(entity["value"])).alias("end"), entity["value"].alias("text"),
+            entity["type"].alias("type"), F.lit("model").alias("source"),
+            entity["classification"].alias("classification"), entity["redact"].alias("redact"),
+        ))
 
-def _key(entity: Column) -> Column:
-    return F.concat_ws("|", entity["start"].cast("string"), entity["end"].cast("string"), entity["text"])
+    fresh = F.filter("contact", lambda _, i: F.get("fresh", i))
+    every = F.concat(F.flatten(F.zip_with("model", "starts", placed)), fresh)
+    return with_counts(walked.select("case_id", "ref", every.alias("entities")))
 
 
 def with_counts(tags: DataFrame) -> DataFrame:
@@ -147,7 +155,7 @@ def contact_rows(docs: DataFrame) -> DataFrame:
 
 def contact_counts(docs: DataFrame) -> DataFrame:
     """Per case: documents, documents with hits, entities by type."""
-    rows = docs.select("case_id", spans.once(spans.contact_spans(F.col("text"))).alias("s"))
+    rows = docs.select("case_id", spans.contact_spans(F.col("text")).alias("s"))
     of = lambda k: F.size(F.filter("s", lambda x: x["type"] == k))
     return rows.groupBy("case_id").agg(
         F.count(F.lit(1)).alias("documents"),
@@ -186,7 +194,7 @@ def flag_instances(entities: DataFrame, docs: DataFrame, half: int = 60) -> Data
     )
     before, after = spans.snippet(F.col("body"), F.col("start"), F.col("end"), half)
     return rows.select(
-        "case_id", "ref", "text", "classification", "start", "end",
+        *(c for c in ("type",) if c in entities.columns), "case_id", "ref", "text", "classification", "start", "end",
         before.alias("snippet_before"), after.alias("snippet_after"),
     )
 

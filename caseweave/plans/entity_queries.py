@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import spans, text as tx, vocab
-from ..operators import dedupe, entities, latest, metrics, redaction, review
+from ..operators import dedupe, entities, latest, metrics, needles, redaction, review
 from ..session import cut_lineage
 from . import standins as st
 from .registry import query
@@ -49,23 +49,46 @@ def entity_spans(spark, d):
 )
 def needle_hits(spark, d):
     """Every occurrence, in any letter case, of the long words each document capitalises."""
-    rows = st.read_by_model(spark, d).withColumn("low", spans.once(spans.folded(F.col("text"))))
-    counted = F.transform(
-        "found",
-        lambda f: F.struct(F.lower(f["text"]).alias("needle"), F.size(spans.needle_spans(F.col("low"), f["text"], "n")).alias("n")),
-    )
-    return rows.select("case_id", F.inline(counted)).groupBy("case_id", "needle").agg(F.sum("n").alias("hits"))
+    rows = st.read_by_model(spark, d).withColumn("low", spans.folded(F.col("text")))
+    wanted = F.transform("found", lambda f: F.struct(f["text"].alias("value"), spans.folded(f["text"]).alias("low")))
+    walked = needles.locate(rows.select("case_id", "found", "low"), "low", wanted)
+    counted = F.zip_with("found", "starts", lambda f, at: F.struct(F.lower(f["text"]).alias("needle"), F.size(at).alias("n")))
+    return walked.select("case_id", F.inline(counted)).groupBy("case_id", "needle").agg(F.sum("n").alias("hits"))
+
+
+def _case_words(spark, d):
+    """What is looked for in each case: the long words that its documents in English capitalise."""
+    words = F.explode(F.regexp_extract_all("text", F.lit(st.WORD), F.lit(0)))
+    return st.docs(spark, d).filter("lang = 'en'").select("case_id", words.alias("needle"))
+
+
+@query(
+    "case_needles",
+    with_("docs")
+    + f"""select case_id, ref, needle, cast(stop - length(needle) as int) as start, cast(stop as int) as "end" from (
+    select case_id, ref, needle, i, last, sum(length(piece) + length(needle)) over (partition by ref, needle order by i) as stop from (
+    select case_id, ref, needle, unnest(range(1, len(pieces) + 1)) as i, unnest(pieces) as piece, len(pieces) as last from (
+    select case_id, ref, needle, string_split(low, needle) as pieces from (select case_id, ref, lower(text) as low from docs)
+    join (select distinct case_id, lower(w) as needle from (select case_id, unnest(regexp_extract_all(text, '{st.WORD}')) as w from docs where lang = 'en')) n using (case_id)
+    where contains(low, needle)))) where i < last""",
+)
+def case_needles(spark, d):
+    """Every place in a case's documents, of whatever language, where one of the case's words stands."""
+    return needles.locate_in_cases(st.docs(spark, d), _case_words(spark, d))
 
 
 @query(
     "tag_build",
-    with_("ents")
-    + """select case_id, ref, cast(sum(n) as bigint) as entity_count, cast(coalesce(sum(n) filter (where redact = 'redact'), 0) as bigint) as redact_count,
-    cast(coalesce(sum(n) filter (where redact = 'flag'), 0) as bigint) as flag_count, cast(coalesce(sum(n) filter (where cls = 'data_subject'), 0) as bigint) as subject_count
-    from ents group by case_id, ref""",
+    with_("ent_spans")
+    + """select case_id, ref, count(*) as entity_count, count(*) filter (redact = 'redact') as redact_count, count(*) filter (redact = 'flag') as flag_count,
+    count(*) filter (cls = 'data_subject') as subject_count, sha256(string_agg(told, ',' order by told)) as spans_sha256
+    from (select *, start || ':' || "end" || ':' || etype || ':' || cls || ':' || redact || ':' || etext as told from ent_spans) group by case_id, ref""",
 )
 def tag_build(spark, d):
     subject = F.size(F.filter("entities", lambda e: e["classification"] == "data_subject"))
+    told = F.transform("entities", lambda e: F.concat_ws(
+        ":", e["start"].cast("string"), e["end"].cast("string"), e["type"], e["classification"], e["redact"], e["text"]
+    ))
     return (
         st.tags(spark, d)
         .filter("entity_count > 0")
@@ -73,6 +96,7 @@ def tag_build(spark, d):
             "case_id", "ref",
             *[F.col(c).cast("bigint").alias(c) for c in ("entity_count", "redact_count", "flag_count")],
             subject.cast("bigint").alias("subject_count"),
+            F.sha2(F.array_join(F.array_sort(told), ","), 256).alias("spans_sha256"),
         )
     )
 
@@ -111,16 +135,17 @@ def flag_cluster_refs(spark, d):
 @query(
     "flag_snippets",
     with_("docs")
-    + f"""select case_id, ref, hits[i] as email, text[greatest(s - 59, 1):s] as snippet_before, text[s + length(hits[i]) + 1:s + length(hits[i]) + 60] as snippet_after
+    + f"""select case_id, ref, type, hits[i] as value, text[greatest(s - 59, 1):s] as snippet_before, text[s + length(hits[i]) + 1:s + length(hits[i]) + 60] as snippet_after
     from (select *, cast(list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda h: length(h))), 0) as bigint) as s
-    from (select *, unnest(range(1, len(hits) + 1)) as i from (select case_id, ref, text, regexp_extract_all(text, '{EMAIL}') as hits, regexp_split_to_array(text, '{EMAIL}') as gaps from docs)))""",
+    from (select *, unnest(range(1, len(hits) + 1)) as i from (select case_id, ref, text, type, regexp_extract_all(text, rx) as hits, regexp_split_to_array(text, rx) as gaps
+    from docs, (values ('email', '{EMAIL}'), ('phone_uk', '{PHONE}'), ('nino', '{NINO}')) v(type, rx))))""",
 )
 def flag_snippets(spark, d):
-    """Sixty characters around every address found, as shown to a reviewer of open flags."""
+    """Sixty characters around every contact detail found, as shown to a reviewer of open flags."""
     docs = st.docs(spark, d)
     flags = entities.contact_rows(docs).withColumns({"redact": F.lit("flag"), "classification": F.lit("unknown")})
-    rows = entities.flag_instances(flags.filter("type = 'email'"), docs)
-    return rows.select("case_id", "ref", F.col("text").alias("email"), "snippet_before", "snippet_after")
+    rows = entities.flag_instances(flags, docs)
+    return rows.select("case_id", "ref", "type", F.col("text").alias("value"), "snippet_before", "snippet_after")
 
 
 @query(

@@ -301,14 +301,14 @@ def read_by_model(spark: SparkSession, d: str) -> DataFrame:
     found = F.transform(
         words, lambda w: F.struct(w.alias("text"), F.lit("person").alias("type"), kind(w).alias("classification"))
     )
-    return docs(spark, d).withColumn("found", spans.once(found))
+    return docs(spark, d).withColumn("found", found)
 
 
-def tags(spark: SparkSession, d: str) -> DataFrame:
+def tags(spark: SparkSession, d: str, cases: list[str] | None = None) -> DataFrame:
     from ..operators import entities
 
     return entities.build_tags(
-        read_by_model(spark, d), entities.subject_identifiers(subjects(spark, d))
+        read_by_model(spark, d), entities.subject_identifiers(subjects(spark, d)), cases=cases
     )
 
 
@@ -335,6 +335,25 @@ cte(
     "docs", "subjects",
 )
 
+# every span of ents: the words by the pieces of the text between them, the addresses by the pattern's
+cte(
+    "ent_spans",
+    "select e.case_id, e.ref, e.etext, e.etype, e.cls, e.redact, cast(p.stop - length(e.etext) as int) as start, cast(p.stop as int) as \"end\" "
+    "from (select distinct case_id, ref, etext, etype, cls, redact from ents where etype <> 'email') e join ("
+    "select ref, w, i, sum(length(piece) + length(w)) over (partition by ref, w order by i) as stop, last from ("
+    "select ref, w, unnest(range(1, len(pieces) + 1)) as i, unnest(pieces) as piece, len(pieces) as last from ("
+    f"select ref, w, string_split(lower(text), lower(w)) as pieces from (select ref, text, unnest(list_distinct(regexp_extract_all(text, '{WORD}'))) as w from docs)))"
+    ") p on p.ref = e.ref and p.w = e.etext where p.i < p.last "
+    "union all "
+    "select e.case_id, e.ref, e.etext, e.etype, e.cls, e.redact, cast(p.stop - length(p.hit) as int), cast(p.stop as int) "
+    "from (select distinct case_id, ref, etext, etype, cls, redact from ents where etype = 'email') e join ("
+    "select ref, hit, sum(length(gap) + length(hit)) over (partition by ref order by i) as stop from ("
+    "select ref, unnest(range(1, len(hits) + 1)) as i, unnest(hits) as hit, unnest(gaps[1:len(hits)]) as gap from ("
+    f"select ref, regexp_extract_all(text, '{EMAIL_SQL}') as hits, regexp_split_to_array(text, '{EMAIL_SQL}') as gaps from docs))"
+    ") p on p.ref = e.ref and p.hit = e.etext",
+    "docs", "ents",
+)
+
 # ---- people ----------------------------------------------------------------
 
 
