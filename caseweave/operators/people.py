@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -164,15 +166,8 @@ def _grams(name: Column) -> Column:
     )
 
 
-def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """Pairs of distinct names of a case whose trigram cosine reaches the threshold.
-
-    Exact, without comparing everything with everything: trigrams are ordered from rare to
-    common, and two sets that similar must share one of their first |x| - ceil(t^2 |x|) + 1
-    rarest trigrams. Only those rare trigrams are joined on, sizes too far apart are dropped,
-    and every candidate is checked. Where `names` has a boolean column `wanted`, only pairs with a
-    wanted side are looked for.
-    """
+def _gram_sets(names: DataFrame, threshold: float) -> DataFrame:
+    """case_id, name, wanted, n, grams (rarest first) and keep, how many of them decide, of each distinct name."""
     wanted = F.bool_or("wanted") if "wanted" in names.columns else F.lit(True)
     distinct = names.filter("name <> ''").groupBy("case_id", "name").agg(wanted.alias("wanted"))
     sets = distinct.withColumn("grams", spans.once(_grams(F.col("name"))))
@@ -186,23 +181,44 @@ def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
         .withColumn("n", F.size("grams"))
     )
     keep = (F.col("n") - F.ceil(F.lit(threshold * threshold) * F.col("n")) + 1).cast("int")
-    rare = ordered.select(
-        "case_id", "name", "wanted", "n", "grams", F.posexplode(F.slice("grams", F.lit(1), keep)).alias("pos", "g")
+    return ordered.select("case_id", "name", "wanted", "n", "grams", keep.alias("keep"))
+
+
+def _rare(sets: DataFrame) -> DataFrame:
+    """A row for each of the rare trigrams of a name: two similar names share one."""
+    return sets.select(
+        "case_id", "name", "wanted", "n", "grams", F.posexplode(F.slice("grams", F.lit(1), F.col("keep"))).alias("pos", "g")
     )
+
+
+def _may_be_similar(n: Column, pos: Column, m: Column, at: Column, threshold: float) -> Column:
+    """Whether sets of n and m whose common trigram stands at pos and at may reach the threshold: sizes are not too
+    far apart, and what is left from there on, which bounds the common part, is enough."""
+    left = F.least(n - pos, m - at)
+    square = threshold * threshold
+    return (n * square <= m) & (m * square <= n) & (left >= threshold * F.sqrt(n * m) - 1e-9)
+
+
+def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """Pairs of distinct names of a case whose trigram cosine reaches the threshold.
+
+    Exact, without comparing everything with everything: trigrams are ordered from rare to
+    common, and two sets that similar must share one of their first |x| - ceil(t^2 |x|) + 1
+    rarest trigrams. Only those rare trigrams are joined on, sizes too far apart are dropped,
+    and every candidate is checked. Where `names` has a boolean column `wanted`, only pairs with a
+    wanted side are looked for.
+    """
+    rare = _rare(_gram_sets(names, threshold))
     # no partitioning by hand: adaptive execution may only split a trigram that stands out in exchanges of its own
     a, b = rare.alias("a"), rare.alias("b")
     cosine = F.size(F.array_intersect("a.grams", "b.grams")) / F.sqrt(F.col("a.n") * F.col("b.n"))
-    # from their first common trigram on, two sets cannot share more than what is left of either
-    left = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
     candidates = a.join(
         b,
         (F.col("a.case_id") == F.col("b.case_id"))
         & (F.col("a.g") == F.col("b.g"))
         & (F.col("a.name") < F.col("b.name"))
         & (F.col("a.wanted") | F.col("b.wanted"))
-        & (F.col("a.n") * threshold * threshold <= F.col("b.n"))
-        & (F.col("b.n") * threshold * threshold <= F.col("a.n"))
-        & (left >= threshold * F.sqrt(F.col("a.n") * F.col("b.n")) - 1e-9),
+        & _may_be_similar(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), threshold),
     )
     # the costly test comes after the cheap ones, not inside the join with them
     return (
@@ -238,6 +254,78 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.drop("old")
 
 
+def name_forest(names: DataFrame, known: DataFrame, threshold: float = 0.85) -> tuple[DataFrame, DataFrame]:
+    """Links that join all names of a case whose trigram cosine reaches the threshold, and the labels they give.
+
+    names: case_id, name. known: links (case_id, node, key) that hold already; the node of a name is `name:` before it.
+    The links join the same names as all similar pairs would, but a family of n names needs little more than n of them: in
+    the largest bucket of a rare trigram that it stands in, each name is compared with one name of the bucket, the centre. As
+    long as that halves the pairs that are left apart, other centres follow, in all buckets. Then every name outside the largest component of its bucket is
+    compared with the names there that are not in its own component, so that no two names stay both uncompared and apart.
+    """
+    sets = cut_lineage(_gram_sets(names, threshold).select("case_id", "name", "n", "grams", "keep"))
+    rare = sets.select("case_id", "name", "n", F.posexplode(F.slice("grams", F.lit(1), F.col("keep"))).alias("pos", "g"))
+    shared = rare.groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("case_id", "g")
+    members = cut_lineage(rare.join(shared, ["case_id", "g"]))
+    sizes = members.groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("k"))
+    total, before = sizes.agg(F.coalesce(F.sum("k"), F.lit(0)), F.sum(F.col("k") * F.col("k"))).first()
+    named = members.withColumns({"node": F.concat(F.lit("name:"), "name"), "label": F.concat(F.lit("name:"), "name")})
+    links, labels = known, None
+
+    def met(named: DataFrame, centres: DataFrame, fits: Column) -> DataFrame:
+        """Links of the members of buckets that are similar to a centre of another label."""
+        centres = centres.select("case_id", "g", *(F.col(c).alias(f"c_{c}") for c in ("name", "n", "pos", "label")))
+        pairs = named.join(centres, ["case_id", "g"]).filter((F.col("label") != F.col("c_label")) & (F.col("name") != F.col("c_name")) & fits)
+        pairs = pairs.select("case_id", F.least("name", "c_name").alias("a"), F.greatest("name", "c_name").alias("b")).distinct()
+        key = F.concat(F.lit("pair:"), "a", F.lit("\x1f"), "b")
+        both = F.explode(F.array(F.concat(F.lit("name:"), "a"), F.concat(F.lit("name:"), "b")))
+        return cut_lineage(_similar(pairs, sets, threshold).select("case_id", both.alias("node"), key.alias("key")))
+
+    # what the place of a trigram says holds for the first that two names share, so it decides only where all meet
+    fits = _may_be_similar(F.col("n"), F.col("pos"), F.col("c_n"), F.col("c_pos"), threshold)
+    alike = _may_be_similar(F.col("n"), F.lit(0), F.col("c_n"), F.lit(0), threshold)
+
+    def centres(named: DataFrame, turn: int) -> DataFrame:
+        one = named.groupBy("case_id", "g").agg(F.min_by("name", F.xxhash64("name", F.lit(turn))).alias("name"))
+        return named.join(one, ["case_id", "g", "name"], "left_semi")
+
+    for turn in itertools.count() if total else ():
+        if not turn:
+            of_name = members.join(sizes, ["case_id", "g"]).groupBy("case_id", "name").agg(F.max_by("g", F.struct("k", "g")).alias("g"))
+            found = met(named.join(of_name, ["case_id", "name", "g"], "left_semi"), centres(named, turn), alike)
+            if found.count() * 20 < sets.count():  # no families: all meet at once
+                links = links.unionByName(met(named, named, fits & (F.col("name") < F.col("c_name"))))
+                break
+        else:
+            named = members.withColumn("node", F.concat(F.lit("name:"), "name")).join(labels, ["case_id", "node"], "left")
+            named = named.withColumn("label", F.coalesce("label", "node"))
+            parts = named.groupBy("case_id", "g", "label").agg(F.count(F.lit(1)).alias("k"))
+            apart = parts.groupBy("case_id", "g").agg(
+                F.max_by("label", F.struct("k", "label")).alias("largest"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("parts")
+            )
+            named = cut_lineage(named.join(apart.filter("parts > 1"), ["case_id", "g"]))
+            left = named.filter("label <> largest").agg(F.sum("k")).first()[0] or 0
+            if not left:
+                break
+            if left <= 4 * total or 2 * left > before:
+                links = links.unionByName(met(named, named.filter("label <> largest"), fits))
+                labels = None
+                break
+            before = left
+            found = met(named, centres(named, turn), alike)
+        links = cut_lineage(links.unionByName(found))
+        labels = components(links)
+    links = cut_lineage(links)
+    return links, components(links) if labels is None else labels
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of names (case_id, a, b) whose trigram cosine reaches the threshold."""
+    side = lambda c: sets.select("case_id", F.col("name").alias(c), F.col("n").alias(f"n{c}"), F.col("grams").alias(f"g{c}"))
+    cosine = F.size(F.array_intersect("ga", "gb")) / F.sqrt(F.col("na") * F.col("nb"))
+    return pairs.join(side("a"), ["case_id", "a"]).join(side("b"), ["case_id", "b"]).filter(cosine >= threshold - 1e-12).select("case_id", "a", "b")
+
+
 def alias_clusters(mentions: DataFrame, threshold: float = 0.85) -> DataFrame:
     """Cluster label per mention (case_id, mention_id, name, email, phone).
 
@@ -261,15 +349,8 @@ def alias_clusters(mentions: DataFrame, threshold: float = 0.85) -> DataFrame:
     )
     contact = contact.distinct()
     shared = contact.groupBy("case_id", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("case_id", "key")
-    pairs = similar_names(rows, threshold)
-    pair_key = F.concat(F.lit("pair:"), "name_a", F.lit("\x1f"), "name_b")
-    sides = pairs.select(
-        "case_id",
-        F.explode(F.array(F.concat(F.lit("name:"), "name_a"), F.concat(F.lit("name:"), "name_b"))).alias("node"),
-        pair_key.alias("key"),
-    )
-    links = contact.join(shared, ["case_id", "key"], "left_semi").select("case_id", "node", "key").unionByName(sides)
-    labels = components(links)
+    known = contact.join(shared, ["case_id", "key"], "left_semi").select("case_id", "node", "key")
+    _, labels = name_forest(rows, known, threshold)
     return rows.join(labels, ["case_id", "node"], "left").select(
         "case_id", F.col("mention_id").cast("string").alias("mention_id"), F.coalesce("label", "node").alias("cluster")
     )

@@ -364,6 +364,34 @@ def test_alias_clusters_equal_brute_force(spark, sf):
     assert {frozenset(v) for v in got.values()} == want
 
 
+def test_a_family_of_names_needs_few_links(spark):
+    """5,000 names that are all alike: links grow with the names, not with their pairs."""
+    names = [f"maria theresia von hohenberg {i:04d}" for i in range(5000)]
+    df = spark.createDataFrame([("c", n) for n in names], "case_id string, name string").repartition(8)
+    links, labels = people.name_forest(df, spark.createDataFrame([], "case_id string, node string, key string"), 0.7)
+    assert links.select("key").distinct().count() < 2 * len(names)
+    assert labels.count() == len(names) and labels.select("label").distinct().count() == 1
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.75, 0.9])
+def test_name_forest_joins_what_all_pairs_join(spark, threshold):
+    """Families, chains between them and strangers that share rare trigrams, in two cases, against all pairs."""
+    rng = random.Random(int(100 * threshold))
+    base = ["katherine", "katharina", "jonathan", "johannes", "elizabeth", "lisbeth", "aa", "b", ""]
+    spoilt = lambda n: "".join(c if rng.random() > 0.2 else rng.choice("abce") for c in n)
+    names = {(rng.choice("cd"), spoilt(rng.choice(base)) + rng.choice(["", "", " smith", " zyx", "zyx"])) for _ in range(260)}
+    known = [("c", f"name:{n}", f"mail:{rng.randrange(40)}") for k, n in sorted(names) if k == "c" and n and rng.random() < 0.2]
+    df = spark.createDataFrame(sorted(names) * 2, "case_id string, name string").repartition(5)
+    _, labels = people.name_forest(df, spark.createDataFrame(known, "case_id string, node string, key string"), threshold)
+    got = {}
+    for r in labels.collect():
+        got.setdefault((r.case_id, r.label), set()).add((r.case_id, r.node[5:]))
+    pairs = [(a, b) for a in names for b in names if a[0] == b[0] and a[1] and b[1] and a < b and alike(a[1], b[1]) >= threshold - 1e-12]
+    pairs += [((k, n[5:]), (k, "key", key)) for k, n, key in known]
+    want = [frozenset(x for x in g if len(x) == 2) for g in groups_of_any(pairs)] if pairs else []
+    assert {frozenset(v) for v in got.values() if len(v) > 1} == {w for w in want if len(w) > 1}
+
+
 def groups_of_any(pairs):
     nodes = {repr(x): x for p in pairs for x in p}
     return [{nodes[k] for k in g} for g in groups((repr(a), repr(b)) for a, b in pairs)]
