@@ -655,6 +655,13 @@ def event_projection(spark, d):
     return projection.project(events.select(*_raw_events()), keep=["case_id", "event_id"])
 
 
+def _landed(spark, d, files: int = 4):
+    """The events table as a stream of several files, one a batch, each with events from all over the table."""
+    rows, folder = st.table(spark, d, "events"), run_folder(spark, "landed")
+    rows.withColumn("f", F.pmod(F.xxhash64("event_id"), F.lit(files))).repartition(files, "f").sortWithinPartitions("event_id").drop("f").write.parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def _event_stream(spark, d):
     """The events table as a stream of files."""
     schema = st.table(spark, d, "events").schema
@@ -673,7 +680,7 @@ def stream_projection(spark, d):
 
 def _stream_decisions(spark, d):
     m = F.create_map(*[F.lit(x) for p in st.DECISION_OF.items() for x in p])
-    return _event_stream(spark, d).select(
+    return _landed(spark, d).select(
         F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("case_id"), F.concat(F.lit("doc-"), "user_id").alias("ref"),
         F.col("event_id").alias("seq"), F.try_element_at(m, "event_type").alias("decision"),
     )
@@ -707,7 +714,7 @@ def stream_latest_decision(spark, d):
 def stream_gaps(spark, d):
     watch.use_rocksdb(spark)
     out, check = run_folder(spark, "gaps"), run_folder(spark, "ckpt")
-    rows = _event_stream(spark, d).select(F.col("event_type").alias("case_id"), F.lit("events").alias("source"), F.col("event_id").alias("seq"))
-    q = watch.gap_stream(rows).writeStream.format("parquet").option("checkpointLocation", check).option("path", out).trigger(availableNow=True).start()
+    rows = _landed(spark, d).select(F.col("event_type").alias("case_id"), F.lit("events").alias("source"), F.col("event_id").alias("seq"))
+    q = watch.gap_stream(rows, width=1000).writeStream.format("parquet").option("checkpointLocation", check).option("path", out).trigger(availableNow=True).start()
     q.awaitTermination()
     return watch.open_gaps(spark.read.schema(watch.GAPS).parquet(out))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.jsonl import case_of
+from . import state_table
 from .projection import event_ts_of, event_type_of, project
 
 LINE_CAP = 1024 * 1024
@@ -65,21 +66,16 @@ def funnel_updates(decisions: DataFrame) -> DataFrame:
     )
 
 
-def append_updates(updates: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Write changed groups of a stateful aggregate, batch by batch, to an append-only table.
+def append_updates(
+    updates: DataFrame, path: str, checkpoint: str, available_now: bool = True, keys: tuple[str, ...] = ("case_id",)
+) -> StreamingQuery:
+    """Keep the changed groups of a stateful aggregate, batch by batch, in a state table.
 
-    Each batch overwrites its own partition, so a repeated batch leaves no duplicates. The current
-    state is the row of the highest batch per key.
+    The current state is the row of the highest batch per key. A repeated batch changes nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        state_table.add_run(batch, batch_id, path, list(keys), "batch_id")
 
     writer = updates.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -87,17 +83,9 @@ def append_updates(updates: DataFrame, path: str, checkpoint: str, available_now
 
 def latest_decisions_stream(decisions: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Latest decision per key, kept up as batches arrive: each batch is first reduced to one row per key."""
-    from ..operators.latest import latest_per_key
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        last = latest_per_key(batch, ["case_id", "ref"]).drop("n_rows")
-        (
-            last.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        state_table.add_run(batch, batch_id, path, ["case_id", "ref"], "seq")
 
     return (
         decisions.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
@@ -105,7 +93,5 @@ def latest_decisions_stream(decisions: DataFrame, path: str, checkpoint: str) ->
 
 
 def current_state(spark: SparkSession, path: str, keys: list[str], seq: str = "batch_id") -> DataFrame:
-    """Newest row per key of a table written by the functions above."""
-    from ..operators.latest import latest_per_key
-
-    return latest_per_key(spark.read.parquet(path), keys, seq).drop("n_rows")
+    """Newest row per key of a table written by the functions above; few runs are read, however many batches there were."""
+    return state_table.read_state(spark, path, keys, seq)

@@ -6,24 +6,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-GAPS = "case_id string, source string, expected_seq bigint, found_seq bigint, missing bigint, sign int"
+GAPS = "case_id string, source string, range bigint, expected_seq bigint, found_seq bigint, missing bigint, sign int"
+RANGE = 100_000  # ordinals whose holes are one state
 SILENCE = "case_id string, source string, kind string, silent_ms bigint"
 
 
 class _Gaps(StatefulProcessor):
-    """Remembers the holes of a (case, source) and reports how they open, shrink and close."""
+    """Remembers the holes in a range of ordinals of a (case, source) and reports how they open, shrink and close.
+
+    It also reports the range's first and last ordinal whenever they change (sign 0): what lies between two ranges
+    follows from these.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.ends = handle.getValueState("ends", "first bigint, last bigint")
         self.holes = handle.getMapState("holes", "expected_seq bigint", "found_seq bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        ends = self.ends.get() if self.ends.exists() else None
+        ends = known = self.ends.get() if self.ends.exists() else None
         before = {k[0]: v[0] for k, v in self.holes.iterator()} if ends else {}
         held = np.array(sorted(before.items()), dtype=np.int64).reshape(-1, 2)
         for part in rows:
@@ -43,20 +48,23 @@ class _Gaps(StatefulProcessor):
         for expected, found in after.items():
             if before.get(expected) != found:
                 self.holes.updateValue((expected,), (found,))
-        if ends:
+        if ends and ends != known:
             self.ends.update(ends)
+            none = np.empty((0, 2), np.int64)
+            yield self._changes(key, none, none, np.array([ends], np.int64))
 
     @staticmethod
-    def _changes(key, closed: np.ndarray, opened: np.ndarray) -> pd.DataFrame:
-        both = np.concatenate([closed, opened])
+    def _changes(key, closed: np.ndarray, opened: np.ndarray, ends: np.ndarray = np.empty((0, 2), np.int64)) -> pd.DataFrame:
+        both = np.concatenate([closed, opened, ends])
         return pd.DataFrame(
             {
                 "case_id": np.full(len(both), key[0], dtype=object),
                 "source": np.full(len(both), key[1], dtype=object),
+                "range": np.full(len(both), key[2], dtype=np.int64),
                 "expected_seq": both[:, 0],
                 "found_seq": both[:, 1],
                 "missing": both[:, 1] - both[:, 0],
-                "sign": np.repeat(np.array([-1, 1], np.int32), [len(closed), len(opened)]),
+                "sign": np.repeat(np.array([-1, 1, 0], np.int32), [len(closed), len(opened), len(ends)]),
             }
         )
 
@@ -130,21 +138,37 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
 
 
-def gap_stream(events: DataFrame) -> DataFrame:
+def gap_stream(events: DataFrame, width: int = RANGE) -> DataFrame:
     """Changes of the sequence gaps per (case, source) of a stream with a `seq` column.
 
-    sign 1 opens a gap, sign -1 takes one back that an ordinal of a later batch has filled or split; `open_gaps`
-    gives the balance. A batch is worked through part by part, so a task holds one part and its key's open gaps.
+    sign 1 opens a gap, sign -1 takes one back that an ordinal of a later batch has filled or split; sign 0 tells the
+    first and last ordinal of a range. `open_gaps` gives the balance. Each range of `width` ordinals is a state of its
+    own, touched only by batches with ordinals in it: a key of any size is spread over tasks, and a task holds
+    the holes of the ranges that its rows fall in. Null ordinals say nothing.
     """
-    return events.groupBy("case_id", "source").transformWithStateInPandas(
+    rows = events.filter("seq is not null").withColumn("range", F.floor(F.col("seq") / F.lit(width)).cast("bigint"))
+    return rows.groupBy("case_id", "source", "range").transformWithStateInPandas(
         statefulProcessor=_Gaps(), outputStructType=GAPS, outputMode="append", timeMode="None"
     )
 
 
 def open_gaps(changes: DataFrame) -> DataFrame:
-    """The gaps that are open after all changes written by `gap_stream`, whatever batches the ordinals came in."""
+    """The gaps that are open after all changes written by `gap_stream`, whatever batches the ordinals came in.
+
+    A gap across the borders of ranges lies between the last ordinal of one and the first of the next that has any;
+    of these there is one row a range.
+    """
     gap = ["case_id", "source", "expected_seq", "found_seq", "missing"]
-    return changes.groupBy(*gap).agg(F.sum("sign").alias("balance")).filter("balance > 0").select(*gap)
+    inside = changes.filter("sign <> 0").groupBy(*gap).agg(F.sum("sign").alias("balance")).filter("balance > 0").select(*gap)
+    ends = changes.filter("sign = 0").groupBy("case_id", "source", "range").agg(
+        F.min("expected_seq").alias("first"), F.max("found_seq").alias("last")
+    )
+    in_order = Window.partitionBy("case_id", "source").orderBy("range")
+    between = ends.withColumn("before", F.lag("last").over(in_order)).filter("first - before > 1")
+    return inside.unionByName(between.select(
+        "case_id", "source", (F.col("before") + 1).alias("expected_seq"), F.col("first").alias("found_seq"),
+        (F.col("first") - F.col("before") - 1).alias("missing"),
+    ))
 
 
 def silence_stream(events: DataFrame, limit_ms: int = 15_000) -> DataFrame:

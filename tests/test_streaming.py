@@ -1,6 +1,8 @@
 """The feed: projection, replay, running state, gaps and silence."""
 
 import json
+import os
+import random
 import time
 
 import numpy as np
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from caseweave.functions import vocab
 from caseweave.session import run_folder
-from caseweave.streaming import feed, progress, projection, watch
+from caseweave.streaming import feed, progress, projection, state_table, watch
 
 TS = "2024-05-01T10:00:00Z"
 
@@ -123,8 +125,10 @@ def test_gaps_across_batches(spark, tmp_path):
     out = run_folder(spark, "gaps")
     q = watch.gap_stream(rows).writeStream.format("parquet").option("path", out).option("checkpointLocation", run_folder(spark, "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
-    got = sorted((r.case_id, r.expected_seq, r.found_seq, r.missing) for r in spark.read.schema(watch.GAPS).parquet(out).collect())
+    changes = spark.read.schema(watch.GAPS).parquet(out)
+    got = sorted((r.case_id, r.expected_seq, r.found_seq, r.missing) for r in changes.filter("sign <> 0").collect())
     assert got == [("c", 3, 5, 2), ("c", 8, 9, 1)]
+    assert got == sorted((r.case_id, r.expected_seq, r.found_seq, r.missing) for r in watch.open_gaps(changes).collect())
 
 
 def test_gaps_do_not_depend_on_batches(spark, tmp_path):
@@ -143,6 +147,47 @@ def test_gaps_do_not_depend_on_batches(spark, tmp_path):
     assert changes.filter("sign < 0").count() > 0  # gaps were taken back
 
 
+def test_gaps_of_one_key_are_many_states(spark, tmp_path):
+    """Ranges of ten ordinals, interleaved over batches, below zero too, with holes over whole ranges and nulls."""
+    watch.use_rocksdb(spark)
+    rng, src = random.Random(6), tmp_path / "in"
+    seqs = rng.sample([*range(-40, 160), *range(400, 420)], 150)
+    for n in range(4):
+        land(src, n, [("c", "", s, "") for s in [*seqs[n::4], None]])
+        time.sleep(1.1)
+    rows = decision_stream(spark, src).select("case_id", F.lit("L1").alias("source"), "seq")
+    out = run_folder(spark, "gaps")
+    q = watch.gap_stream(rows, width=10).writeStream.format("parquet").option("path", out).option("checkpointLocation", run_folder(spark, "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    changes = spark.read.schema(watch.GAPS).parquet(out)
+    order = sorted(seqs)
+    want = [(a + 1, b, b - a - 1) for a, b in zip(order, order[1:]) if b - a > 1]
+    assert sorted((r.expected_seq, r.found_seq, r.missing) for r in watch.open_gaps(changes).collect()) == want
+    assert changes.select("range").distinct().count() == len({s // 10 for s in seqs})
+
+
+def test_state_reads_few_runs_after_many_batches(spark):
+    """Fifty batches: the state is right at any time, a repeated or half-written batch does no harm, few files are read."""
+    rng, path, want = random.Random(9), run_folder(spark, "state"), {}
+    for n in range(50):
+        rows = [("c", f"k{rng.randrange(30)}", rng.randrange(10_000), f"v{n}-{i}") for i in range(5)]
+        df = spark.createDataFrame(rows, "case_id string, ref string, seq bigint, decision string").coalesce(1)
+        for again in range(1 + (n % 7 == 0)):
+            state_table.add_run(df, n, path, ["case_id", "ref"], "seq")
+        for _, ref, seq, value in rows:
+            if seq > want.get(ref, (-1, ""))[0]:
+                want[ref] = (seq, value)
+        if n % 12 == 0 or n == 49:
+            state = state_table.read_state(spark, path, ["case_id", "ref"], "seq")
+            assert {r.ref: r.seq for r in state.collect()} == {k: s for k, (s, _) in want.items()}
+    runs = state_table.live(spark, path)
+    assert len(runs) <= 9 and sum(last - first + 1 for _, first, last in runs) == 50
+    assert len(state_table.read_state(spark, path, ["case_id", "ref"], "seq").inputFiles()) <= 9 * 8
+    assert len(os.listdir(path)) <= 20  # merged runs do not stay for good
+    os.remove(f"{path}/level={runs[0][0]}-{runs[0][1]}-{runs[0][2]}/_SUCCESS")  # a run that was not committed
+    assert runs[0] not in state_table.live(spark, path)
+
+
 @given(st.lists(st.sets(st.integers(-20, 20), min_size=1, max_size=8), min_size=1, max_size=6))
 def test_holes_of_any_order(parts):
     held, ends, seen = np.empty((0, 2), np.int64), None, set()
