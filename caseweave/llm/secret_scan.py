@@ -1,8 +1,9 @@
 """Secrets in texts, with weak candidates linked to the parts that complete them.
 
 Strong patterns are reported as they are. A weak candidate (a user or client name, an opaque token, an endpoint)
-is reported only if a complementary part lies in the same scope within reach: an identifier beside a secret, a
-secret beside an identifier or an endpoint, an endpoint beside both. Scopes end at blank lines.
+is reported only if a complementary part lies in the same scope: an identifier with a secret, a secret with an
+identifier or an endpoint, an endpoint with both. A part completes only candidates that it does not overlap. Scopes end
+at blank lines; within one, distance does not matter.
 """
 
 from __future__ import annotations
@@ -10,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .minhash import marked
+
 
 def either_case(word: str) -> str:
     """A pattern for an ASCII word in either case that other letters never match."""
@@ -34,7 +38,6 @@ OPAQUE = "[A-Za-z0-9+/_-]{16,}"
 WEAK = {"client": (CLIENT, 2, 3), "endpoint": (ENDPOINT, 0, 10), "opaque": (OPAQUE, 0, 16)}
 KINDS = [*BASE, *WEAK]
 SCOPE_END = r"\n[\x20\t]*\n"
-REACH = 400  # code points between two parts
 
 
 def _cut(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -79,9 +82,7 @@ def _around(placed: DataFrame, key: list[str], sought: dict[str, Column]) -> Dat
     )
 
 
-def find_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, apart: bool = False
-) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each input row: id_col, text_hash and spans, an array of (kind, start, end), in order of start
     and kind (as listed in KINDS). Code points, end exclusive.
 
@@ -89,9 +90,8 @@ def find_secrets(
     null id is an id like any other. An empty table gives an empty one; other columns are not read.
     Texts are not shuffled, only the lengths of matches and gaps; everything is linear in their number.
 
-    With `apart`, a part completes only candidates that it does not overlap, and an opaque run inside an endpoint
-    is no secret for others and needs an identifier or a secret elsewhere. Without it, as in the SQL of op3, a
-    part that overlaps a candidate completes it.
+    A part completes only candidates that it does not overlap. An opaque run inside an endpoint is no secret for
+    others and needs an identifier or a secret elsewhere.
     """
     text = F.coalesce(text_col, F.lit(""))
     none = "cast(array() as array<struct<kind:string,i:int,gap:int,hit:int,counts:boolean>>)"
@@ -127,32 +127,25 @@ def find_secrets(
     after = Window.partitionBy(*key).orderBy(F.desc("start"), F.desc("rank")).rowsBetween(Window.unboundedPreceding, -1)
     is_base = F.col("kind").isin(*BASE)
     upto = F.max(F.when(F.col("kind") == "endpoint", F.col("end"))).over(before)
-    inside = (F.col("kind") == "opaque") & (F.coalesce(upto, F.lit(0)) >= F.col("end")) & F.lit(apart)
+    inside = (F.col("kind") == "opaque") & (F.coalesce(upto, F.lit(0)) >= F.col("end"))
     placed = placed.withColumn("inside", inside)
     parts = {
         "identifier": F.col("kind").isin("access", "client"),
         "secret": F.col("kind").isin("assign", "hex", "opaque") & ~F.col("inside"),
         "endpoint": F.col("kind") == "endpoint",
     }
-    last = {k: F.max(F.when(c, F.col("end"))).over(before) for k, c in (parts | {"base": is_base}).items()}
-    last["scope"] = F.max(F.when(F.col("kind") == "|", F.col("end"))).over(before)
-    following = {k: F.min(F.when(c, F.col("start"))).over(after) for k, c in (parts | {"base": is_base}).items()}
-    following["scope"] = F.min(F.when(F.col("kind") == "|", F.col("start"))).over(after)
-    seen = placed.withColumns({f"last_{k}": v for k, v in last.items()}).withColumns(
-        {f"next_{k}": v for k, v in following.items()}
-    )
-    if apart:
-        # what overlaps a base span is still told by the running extremes above
-        scope = {"scope": F.col("kind") == "|"}
-        seen = _around(seen.drop(*(f"{x}_{k}" for k in [*parts, "scope"] for x in ("last", "next"))), key, parts | scope)
+    # a base span hides the weak ones that it overlaps, so its own ends are told from starts alone
+    seen = placed.withColumns({
+        "last_base": F.max(F.when(is_base, F.col("end"))).over(before),
+        "next_base": F.min(F.when(is_base, F.col("start"))).over(after),
+    })
+    seen = _around(seen, key, parts | {"scope": F.col("kind") == "|"})
 
     def near(kind: str) -> Column:
-        """A part of this kind before or behind, in the same scope and within reach."""
+        """A part of this kind before or behind, in the same scope."""
         back, ahead = F.col(f"last_{kind}"), F.col(f"next_{kind}")
-        return F.coalesce(
-            (back >= F.coalesce("last_scope", F.lit(0))) & (F.col("start") - back <= reach), F.lit(False)
-        ) | F.coalesce(
-            (ahead <= F.coalesce("next_scope", ahead)) & (ahead - F.col("end") <= reach), F.lit(False)
+        return F.coalesce(back >= F.coalesce("last_scope", F.lit(0)), F.lit(False)) | F.coalesce(
+            ahead <= F.coalesce("next_scope", ahead), F.lit(False)
         )
 
     inside_base = F.coalesce(F.col("last_base") > F.col("start"), F.lit(False)) | F.coalesce(
@@ -181,15 +174,14 @@ def find_secrets(
     ).drop("_copy")
 
 
-def redacted(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, apart: bool = True
-) -> DataFrame:
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs with every span in the text replaced by its kind in brackets; all columns stay.
 
-    Overlapping spans become one, named after the first. Rows without spans stay as they are.
+    Overlapping spans become one, named after the first. Rows without spans stay as they are, and where they are: only
+    texts with spans are shuffled.
     """
     key = ["__id", "__hash"]
-    found = find_secrets(docs, id_col, text_col, reach, apart).filter(F.size("spans") > 0)
+    found = find_secrets(docs, id_col, text_col).filter(F.size("spans") > 0)
     found = found.dropDuplicates([id_col, "text_hash"]).select(
         F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash"), F.posexplode("spans").alias("i", "s")
     )
@@ -205,9 +197,13 @@ def redacted(
     islands = islands.groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "kind", "behind"))).alias("__spans")
     )
-    text = F.coalesce(text_col, F.lit(""))
-    both = docs.join(
-        islands, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left"
+    islands = cut_lineage(islands)
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    node = lambda i, h: F.xxhash64(i, h)
+    rows = marked(docs, node(F.col(f"`{id_col}`"), F.xxhash64(text)), islands.select(node(F.col("__id"), F.col("__hash")).alias("node")))
+    hit = rows.filter("__hit")
+    both = hit.join(
+        islands, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left"
     )
     pieces = F.transform(
         "__spans",
@@ -218,6 +214,7 @@ def redacted(
     )
     last = F.element_at("__spans", -1)["end"].cast("int")
     whole = F.concat(F.array_join(pieces, ""), F.substring(text, last + 1, F.char_length(text)))
-    return both.withColumn(text_col, F.when(F.col("__spans").isNotNull(), whole).otherwise(F.col(text_col))).select(
-        *docs.columns
-    )
+    own = F.when(F.col("__spans").isNotNull(), whole).otherwise(F.col(f"`{text_col}`"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    changed = both.select(*(own.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+    return rows.filter("not __hit").select(*columns).unionByName(changed)

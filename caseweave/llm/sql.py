@@ -39,9 +39,8 @@ def _secrets() -> str:
                              string_split_regex(t, {p}) as gaps from docs)))
         where length(own) >= {least}{opaque if kind == "opaque" else ""}""")
     ranks = ", ".join(f"'{k}'" for k in secret_scan.KINDS)
-    near = lambda kinds: f"""exists (select 1 from part p where p.doc_id = w.doc_id and p.scope = w.scope
-        and p.kind in ({kinds}) and p.id <> w.id
-        and case when p.id < w.id then w.start - p."end" else p.start - w."end" end <= {secret_scan.REACH})"""
+    near = lambda kinds: f"""exists (select 1 from inner_ p where p.doc_id = w.doc_id and p.scope = w.scope
+        and p.kind in ({kinds}) and not p.inside and (p."end" <= w.start or p.start >= w."end"))"""
     identifier, secret, endpoint = near("'access', 'client'"), near("'assign', 'hex', 'opaque'"), near("'endpoint'")
     base = ", ".join(f"'{k}'" for k in secret_scan.BASE)
     return f"""
@@ -52,10 +51,14 @@ part as (
            (select count(*) from found b where b.doc_id = f.doc_id and b.kind = '|' and b."end" <= f.start) as scope
     from found f where kind <> '|'
 ),
+inner_ as (
+    select *, kind = 'opaque' and exists (select 1 from part e where e.doc_id = o.doc_id and e.kind = 'endpoint'
+                                          and e.start <= o.start and e."end" >= o."end") as inside from part o
+),
 kept as (
-    select * from part w where kind in ({base})
+    select * from inner_ w where kind in ({base})
     or (not exists (select 1 from part b where b.doc_id = w.doc_id and b.kind in ({base}) and b.start < w."end" and b."end" > w.start)
-        and ((kind = 'client' and {secret}) or (kind = 'opaque' and ({identifier} or {endpoint}))
+        and ((kind = 'client' and {secret}) or (kind = 'opaque' and ({identifier} or case when inside then {secret} else {endpoint} end))
              or (kind = 'endpoint' and {identifier} and {secret})))
 ),
 told as (

@@ -488,7 +488,7 @@ def test_secret_links(spark):
         spans = [(s["kind"], s["start"], s["end"]) for s in r["spans"]]
         assert [s for s in spans if s[0] in secret_scan.BASE] == spans_of(SECRETS[r["doc_id"]] or "")
         weak[r["doc_id"]] = [s[0] for s in spans if s[0] in secret_scan.WEAK]
-    assert weak == {i: [] for i in range(len(SECRETS))} | {3: ["opaque"], 7: ["client", "endpoint"]}
+    assert weak == {i: [] for i in range(len(SECRETS))} | {3: ["opaque"], 4: ["opaque"], 7: ["client", "endpoint"]}
 
 
 def test_secret_query_against_plain_patterns(spark, sf):
@@ -500,6 +500,15 @@ def test_secret_query_against_plain_patterns(spark, sf):
         assert [got[doc][f"n_{k}"] for k in secret_scan.BASE] == [sum(w[0] == k for w in want) for k in secret_scan.BASE]
 
 
+def test_a_candidate_does_not_complete_itself(spark):
+    url = "https://en.example.org/wiki/Battle_of_Hastings_1066"
+    texts = {f"see {url} for more": [], "username: JohnSmith1985Berlin": [], "login: bob" + " x" * 300 + " Zx9aB7cD5eF3gH1iJ2kL4mN6": ["client", "opaque"],
+             "login: bob\n\nZx9aB7cD5eF3gH1iJ2kL4mN6": []}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = by_id(secret_scan.find_secrets(docs))
+    assert [[s["kind"] for s in found[i]["spans"]] for i in range(len(texts))] == list(texts.values())
+
+
 def test_redaction(spark, odd):
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(SECRETS)] + [(0, SECRETS[0], 7)], "doc_id long, text string, kind int")
     got = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs).collect()}
