@@ -81,9 +81,10 @@ def _labelled(docs, labels, id_col, text_col, label_col, sample) -> DataFrame:
     given = given.filter("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
     given = given.orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
-    both = texts.join(F.broadcast(given), "id")  # bounded by `sample` rows of two numbers
-    first = both.groupBy(F.xxhash64("text").alias("h")).agg(F.min("id").alias("id")).select("id")
-    return both.join(F.broadcast(first), "id").select("toxic", "text")
+    both = texts.join(F.broadcast(given), "id").withColumn("h", F.xxhash64("text"))  # `sample` rows of two numbers
+    # an id may have any number of texts: what counts is bounded once more
+    first = both.groupBy("h").agg(F.min("id").alias("id")).orderBy(F.xxhash64("h"), "h").limit(sample)
+    return both.join(F.broadcast(first), ["id", "h"]).dropDuplicates(["h"]).select("toxic", "text")
 
 
 def _voters(rows: DataFrame, features: int) -> tuple[np.ndarray, int, int]:

@@ -80,6 +80,37 @@ def test_odd_rows_pass_all_stages(spark, sf):
         assert stage(spark, empty, sf).count() == 0
 
 
+def test_repeated_ids_dotted_names_and_maps(spark, sf):
+    """Different texts of one id all pass, equal rows once; a column with a dot and a map column come through."""
+    texts = [(7, "alpha beta gamma delta epsilon zeta eta"), (7, "one two three four five six seven"), (7, "one two three four five six seven"),
+             (8, "one two three four five six seven"), (9, "quite another text of seven words here"), (None, "no id but words in a row"),
+             (7, "quite another text of seven words here"), (10, "alpha beta gamma delta epsilon zeta eta")]
+    docs = spark.createDataFrame([(*r, "en", "s", len(r[1]), {"k": r[0]}, i % 2) for i, r in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, extra map<string,long>, `meta.tag` int")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        out = cut_lineage(stage(spark, docs, sf))
+        assert out.columns == columns, name
+        if name == "near_copies":
+            got = [(r["doc_id"], r["text"]) for r in out.collect()]
+            assert sorted(t for _, t in got) == sorted({t for _, t in texts}) and set(got) <= set(texts)
+            assert all(r["extra"] == {"k": r["doc_id"]} for r in out.collect())
+    alone = docs.filter("doc_id = 7")
+    out = dict(corpus_pipeline.STAGES)["near_copies"](spark, alone, sf)
+    assert sorted(r["text"] for r in out.collect()) == sorted({t for i, t in texts if i == 7})
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() > 0
+
+
+def test_labelled_rows_are_bounded(spark):
+    """Thousands of texts under one labelled id stay within the sample, each text once."""
+    docs = spark.createDataFrame([(1, f"text number {i}") for i in range(3000)] + [(2, "other")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    rows = toxicity._labelled(docs, labels, "doc_id", "text", "toxic", 10).collect()
+    assert len(rows) == 10 == len({r["text"] for r in rows})
+    every = toxicity._labelled(docs, labels, "doc_id", "text", "toxic", 10_000).collect()
+    assert len(every) == 3001 and {(r["toxic"], r["text"] == "other") for r in every} == {(1, False), (0, True)}
+
+
 def test_near_copies_from_eighty_percent(spark, sf):
     """Texts with words changed far apart, around 0.80, against all pairs."""
     rng = random.Random(4)
