@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .batches import slices, take_ragged
+from .batches import SLICE_BYTES, slices, take_ragged
 from .pieces import Recent, distinct_pieces, spaced_pieces
 from .token_counts import byte_letters
 
@@ -65,7 +65,9 @@ def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def tokenised(docs: DataFrame, vocabulary_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+def tokenised(
+    docs: DataFrame, vocabulary_path: str, end_id: int, id_col: str, text_col: str, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """Ids of every whole text with end_id behind them, and, one row a task, in how many texts each id occurs."""
     recent = Recent()
 
@@ -79,7 +81,7 @@ def tokenised(docs: DataFrame, vocabulary_path: str, end_id: int, id_col: str, t
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            for first, end, data, bounds in slices(batch.column(1)):
+            for first, end, data, bounds in slices(batch.column(1), slice_bytes):
                 rows = end - first
                 # a text with other characters is one piece, for the library itself
                 words, codes, counts = distinct_pieces(data, bounds, spaced_pieces, lambda t: [b"\xff" + t.encode()])
@@ -280,11 +282,23 @@ def _by_content(rows: DataFrame, id_col: str, held, mean: float, window: int, sh
     return salted.mapInArrow(place, f"`{id_col}` {kind}, n bigint, ids binary, shard bigint")
 
 
+def _next_fit(sizes: np.ndarray, at: int, room: int) -> int:
+    """The first place from `at` on that holds at most `room`, or the number of places. Looks ahead in growing steps."""
+    step = 64
+    while at < len(sizes):
+        fits = sizes[at : at + step] <= room
+        if fits[k := int(np.argmax(fits))]:
+            return at + k
+        at, step = at + step, step * 2
+    return len(sizes)
+
+
 def fill_windows(lengths: np.ndarray, scores, window: int) -> Iterator[list[tuple[int, int]]]:
     """Windows as lists of (piece, tokens of it taken from what is left of it).
 
     The longest piece left is the seed. Its best-scored neighbours follow, first those that fit whole; when
-    none fits, the best one is cut. So every window but the last is full.
+    none fits, the best one is cut. So every window but the last is full. Scores are 0 or more. What did not fit once
+    does not fit later, as room only shrinks: a window is one walk over the pieces left, however many it takes in.
     """
     left = lengths.copy()
     while left.any():
@@ -292,18 +306,20 @@ def fill_windows(lengths: np.ndarray, scores, window: int) -> Iterator[list[tupl
         room = window - int(left[seed])
         out = [(seed, int(left[seed]))]
         left[seed] = 0
-        if room and left.any():
-            order = np.argsort(-scores(seed), kind="stable")
-            order = order[left[order] > 0]
-            while room and len(order):
-                fits = left[order] <= room
-                k = int(np.argmax(fits))  # the first that fits, or the best
-                piece = int(order[k])
-                take = min(room, int(left[piece]))
-                out.append((piece, take))
-                left[piece] -= take
-                room -= take
-                order = order[left[order] > 0]
+        if room:
+            found = scores(seed)
+            near, far = np.flatnonzero((found > 0) & (left > 0)), np.flatnonzero((found <= 0) & (left > 0))
+            order = np.concatenate([near[np.argsort(-found[near], kind="stable")], far])
+            sizes = left[order]
+            at = _next_fit(sizes, 0, room)
+            while room and at < len(order):
+                out.append((int(order[at]), int(sizes[at])))
+                room -= int(sizes[at])
+                left[order[at]] = 0
+                at = _next_fit(sizes, at + 1, room)
+            if room and len(rest := order[left[order] > 0]):
+                out.append((int(rest[0]), room))
+                left[rest[0]] -= room
         yield out
 
 
@@ -316,6 +332,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Pieces of all documents, packed into sequences of at most `window` tokens.
 
@@ -324,8 +341,11 @@ def pack(
     packed like any other. What a document has beyond a multiple of `window` goes to its shard's index. Each
     shard leaves at most one sequence that is not full. Neighbours come from the seed's shard, which holds the texts
     most like it of all documents; the README says how many of the global best are among them.
+
+    slice_bytes: bytes of text that a task tokenises at once. A Python worker takes about 25 times as much beside its
+    vocabulary; smaller slices meet more pieces anew and cost more time. The result does not depend on it.
     """
-    table = cut_lineage(tokenised(docs, vocabulary_path, end_id, id_col, text_col))
+    table = cut_lineage(tokenised(docs, vocabulary_path, end_id, id_col, text_col, slice_bytes))
     rows = table.filter("ids is not null").select(id_col, "n", "ids")
     total = rows.agg(
         F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("docs"), F.avg(F.col("n") % window).alias("mean")

@@ -6,6 +6,7 @@ import itertools
 import json
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -252,6 +253,50 @@ def test_packing_ids_are_the_pieces(spark, sf):
         assert zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
 
 
+def test_packing_does_not_depend_on_slices(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    whole, cut = (sorted(packing.pack(docs, BYTES_JSON, slice_bytes=n).collect()) for n in (1 << 22, 1 << 12))
+    assert whole == cut
+
+
+def plain_filling(lengths, scores, window):
+    """Windows one piece at a time: the best that fits, else a part of the best."""
+    left, out = list(map(int, lengths)), []
+    while any(left):
+        seed = left.index(max(left))
+        room, parts = window - left[seed], [(seed, left[seed])]
+        left[seed] = 0
+        ranked = sorted(range(len(left)), key=lambda i: (-scores(seed)[i], i))
+        while room and any(left):
+            piece = next((i for i in ranked if 0 < left[i] <= room), None)
+            piece = next(i for i in ranked if left[i]) if piece is None else piece
+            take = min(room, left[piece])
+            parts.append((piece, take))
+            left[piece] -= take
+            room -= take
+        out.append(parts)
+    return out
+
+
+def test_filling_against_one_at_a_time():
+    rng = np.random.default_rng(11)
+    for count in (1, 2, 7, 150, 400):
+        lengths = rng.integers(1, 65, count)
+        table = np.round(rng.random((count, count)), 1) * (rng.random((count, count)) < 0.5)
+        got = list(packing.fill_windows(lengths, lambda i, t=table: t[i], 64))
+        assert got == plain_filling(lengths, lambda i, t=table: t[i], 64)
+
+
+def test_filling_many_short_pieces():
+    """A piece taken in costs a step, not a walk over the shard: 200,000 pieces of one token, 98 windows."""
+    count = 200_000
+    index = packing.Index([np.zeros(1, "<u2")] * count, np.ones(1, np.float32))
+    start = time.process_time()
+    got = list(packing.fill_windows(np.ones(count, np.int64), index.scores, 2048))
+    assert time.process_time() - start < 20
+    assert len(got) == -(-count // 2048) and sum(len(w) for w in got) == count
+
+
 def test_bm25_index_scores():
     rng = np.random.default_rng(3)
     parts = [rng.integers(0, 30, rng.integers(1, 60)) for _ in range(40)]
