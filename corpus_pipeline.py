@@ -16,6 +16,7 @@ from caseweave.session import cut_lineage
 
 CERTAIN = 0.5  # posterior that a language needs
 TOXIC = 0.3  # score from which a document goes
+SLICE_BYTES = 1 << 20  # text that a packing task tokenises at once, beside what earlier stages leave in an executor
 NEAR = 80  # percent of shared five-word shingles from which two documents are near copies
 
 
@@ -100,7 +101,7 @@ def _packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 tokens."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), slice_bytes=SLICE_BYTES)
 
 
 STAGES = [
