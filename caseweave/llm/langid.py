@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import carried, carried_fields, slices, sums_between, with_text_last
+from .batches import carried, carried_fields, slices, sums_between, tidy, with_text_last
 
 ORDERS = (1, 2, 3)
 BITS = 15
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothi
             )
 
     rows = docs.select(lang_col, text_col).filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    parts = rows.mapInArrow(run, "lang string, bucket bigint, n bigint")
+    parts = rows.mapInArrow(tidy(run), "lang string, bucket bigint, n bigint")
     sums = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(sums["lang"]))
     counts = np.zeros(((1 << BITS) + 1, len(langs)))
@@ -154,4 +154,4 @@ def predict(
                 ], strict=True)))
 
     fields = carried_fields(docs, carry, dict(zip(names, ["string", "double"], strict=True)))
-    return with_text_last(docs, carry, text_col).mapInArrow(run, fields)
+    return with_text_last(docs, carry, text_col).mapInArrow(tidy(run), fields)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .batches import slices
+from .batches import slices, tidy
 from .components import components
 from .words import Words, mixed
 
@@ -101,7 +101,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, bands: int = BANDS, rows
                 )
 
     schema = "node bigint, n_shingles bigint, digest binary, bands array<bigint>"
-    return docs.select(F.col(id_col).cast("long").alias("node"), text_col).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long").alias("node"), text_col).mapInArrow(tidy(run), schema)
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -122,7 +122,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 )
 
     return docs.select(F.col(id_col).cast("long").alias("node"), text_col).mapInArrow(
-        run, "node bigint, shingles array<bigint>"
+        tidy(run), "node bigint, shingles array<bigint>"
     )
 
 

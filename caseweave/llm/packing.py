@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .batches import SLICE_BYTES, slices, take_ragged
+from .batches import SLICE_BYTES, give_back, slices, take_ragged, tidy
 from .pieces import Recent, distinct_pieces, spaced_pieces
 from .token_counts import byte_letters
 
@@ -117,7 +117,7 @@ def tokenised(
             )
 
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n bigint, ids binary, seen binary"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
 
 
 def _in_documents(table: DataFrame) -> np.ndarray:
@@ -133,7 +133,7 @@ def _in_documents(table: DataFrame) -> np.ndarray:
             hit = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], names=["id", "n"])
 
-    parts = table.filter("seen is not null").select("seen").mapInArrow(run, "id bigint, n bigint")
+    parts = table.filter("seen is not null").select("seen").mapInArrow(tidy(run), "id bigint, n bigint")
     sums = parts.groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(int(sums["id"].max()) + 1 if len(sums) else 1, np.int64)
     out[sums["id"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
@@ -268,7 +268,7 @@ def _by_content(rows: DataFrame, id_col: str, held, mean: float, window: int, sh
     # rows of the sample by another hash than their salt; on the driver about 150 bytes each
     rate = min(1.0, SAMPLE * shards / max(1, texts))
     chosen = salted.filter(F.pmod(F.xxhash64(mark), F.lit(1 << 24)) < F.lit(int(rate * (1 << 24))))
-    sample = chosen.select("n", "ids", "salt").mapInArrow(learn, "n bigint, sketch binary").toPandas()
+    sample = chosen.select("n", "ids", "salt").mapInArrow(tidy(learn), "n bigint, sketch binary").toPandas()
     sample = sample.sort_values(["sketch", "n"], kind="stable")
     points = np.frombuffer(b"".join(map(bytes, sample["sketch"])), np.float32).reshape(-1, AXES + 1)
     cuts = rows.sparkSession.sparkContext.broadcast(Cuts(points, sample["n"].to_numpy(np.int64), shards))
@@ -279,7 +279,7 @@ def _by_content(rows: DataFrame, id_col: str, held, mean: float, window: int, sh
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], shard], names=[id_col, "n", "ids", "shard"])
 
     kind = rows.schema[id_col].dataType.simpleString()
-    return salted.mapInArrow(place, f"`{id_col}` {kind}, n bigint, ids binary, shard bigint")
+    return salted.mapInArrow(tidy(place), f"`{id_col}` {kind}, n bigint, ids binary, shard bigint")
 
 
 def _next_fit(sizes: np.ndarray, at: int, room: int) -> int:
@@ -358,7 +358,7 @@ def pack(
     kind = docs.schema[id_col].dataType.simpleString()
     fields = f"`{id_col}` {kind}, " + ", ".join(f"{n} bigint" for n in names[1:7]) + ", ids binary" * with_ids
 
-    def run(group: pa.Table) -> pa.Table:
+    def packed(group: pa.Table) -> pa.Table:
         group = group.combine_chunks().sort_by([(id_col, "ascending"), ("n", "ascending"), ("ids", "ascending")])
         ids_col = group.column("ids").combine_chunks()
         n = group.column("n").to_numpy()
@@ -392,6 +392,11 @@ def pack(
         columns = [columns[0], *(pa.array(c, pa.int64()) for c in columns[1:])]
         return pa.Table.from_arrays(columns + [pa.array(parts, pa.binary())] * with_ids, names=names)
 
+    def run(group: pa.Table) -> pa.Table:
+        out = packed(group)
+        give_back()
+        return out
+
     if shards == 1:
         placed = rows.withColumn("shard", F.lit(0).cast("bigint"))
     else:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .batches import carried, carried_fields, slices, with_text_last
+from .batches import carried, carried_fields, slices, tidy, with_text_last
 from .words import BLANK, Words, mixed
 
 SLICE = 1 << 20  # bytes of text at once; the arrays of a slice take some fifty times as much
@@ -112,7 +112,7 @@ def _voters(rows: DataFrame, features: int) -> tuple[np.ndarray, int, int]:
     if not 0 < bad < every:
         return np.empty(0, np.uint64), bad, every
     share = bad / every
-    counts = rows.mapInArrow(run, "key bigint, bad bigint, every bigint").groupBy("key")
+    counts = rows.mapInArrow(tidy(run), "key bigint, bad bigint, every bigint").groupBy("key")
     counts = counts.agg(F.sum("bad").alias("bad"), F.sum("every").alias("every"))
     clean = F.col("every") - F.col("bad")
     strength = 2 * (
@@ -142,7 +142,7 @@ def _votes(rows: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, list[np.ndarr
                     names=["toxic", "voters"],
                 )
 
-    found = rows.mapInArrow(run, "toxic int, voters array<int>").toPandas()
+    found = rows.mapInArrow(tidy(run), "toxic int, voters array<int>").toPandas()
     order = sorted(range(len(found)), key=lambda i: (found["toxic"][i], tuple(found["voters"][i])))
     return found["toxic"].to_numpy()[order], [np.asarray(found["voters"][i], np.int64) for i in order]
 
@@ -243,4 +243,4 @@ def score(
                 scores = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
                 yield carried(batch, first, end, carry, {name: pa.array(scores)})
 
-    return with_text_last(docs, carry, text_col).mapInArrow(run, carried_fields(docs, carry, {name: "double"}))
+    return with_text_last(docs, carry, text_col).mapInArrow(tidy(run), carried_fields(docs, carry, {name: "double"}))
