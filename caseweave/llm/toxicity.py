@@ -84,10 +84,11 @@ def _labelled(docs, labels, id_col, text_col, label_col, sample) -> DataFrame:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     both = texts.join(F.broadcast(given), "id").withColumn("h", F.xxhash64("text"))  # `sample` rows of two numbers
     # an id may have any number of texts: what counts is bounded once more
-    first = both.groupBy("h").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    rows = both.groupBy("h", "id").agg(F.count(F.lit(1)).alias("n"))
+    first = rows.groupBy("h").agg(F.min("id").alias("id"), F.min_by("n", "id").alias("n"))
     first = cut_lineage(first.orderBy(F.xxhash64("h"), "h").limit(sample))
     chosen = both.join(F.broadcast(first.select("id", "h")), ["id", "h"])
-    if first.filter("n > 1").limit(1).count():  # else no text is shuffled
+    if first.filter("n > 1").limit(1).count():  # a chosen row is repeated; else no text is shuffled
         chosen = chosen.dropDuplicates(["h"])
     return chosen.select("toxic", "text")
 
