@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import entity_queries, integrity_queries, people_queries, scope_queries  # noqa: F401
+from . import entity_queries, integrity_queries, people_queries, scope_queries, source_queries  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
