@@ -93,13 +93,16 @@ def check_prefilter(rows: DataFrame) -> DataFrame:
 
 
 def check_rerank(rows: DataFrame, mode: str) -> DataFrame:
-    return checks(
-        rows,
-        {
-            "rerank_fields": (F.col("ref").isNull() | F.col("rerank_score").isNull() | F.col("would_drop").isNull(), "critical"),
-            "rerank_mode": (~F.col("mode").eqNullSafe(mode), "warning"),
-        },
-    )
+    """Required fields; and a warning for a case in which no row was made in the given mode. Nothing with reranking off."""
+    if mode == "off":
+        rows = rows.limit(0)
+    needed = ["ref", "rerank_score", "would_drop", "mode", "upstream_hash"]
+    missing = F.col(needed[0]).isNull()
+    for name in needed[1:]:
+        missing = missing | F.col(name).isNull()
+    found = checks(rows, {"rerank_fields": (missing, "critical"), "rerank_mode": (~F.col("mode").eqNullSafe(mode), "warning")})
+    some = (F.col("check") == "rerank_mode") & (F.col("n_bad") < F.col("n_rows"))
+    return found.withColumn("severity", F.when(some, "info").otherwise(F.col("severity")))
 
 
 def check_classified(rows: DataFrame) -> DataFrame:

@@ -246,15 +246,19 @@ def first_findings(spark, d):
     + """select case_id, 'register_ref' as "check", count(*) as n_rows, cast(0 as bigint) as n_bad, 'info' as severity from register group by 1
     union all select case_id, 'register_text', count(*), count(*) filter (where n_chars < 200), case when count(*) filter (where n_chars < 200) > 0 then 'critical' else 'info' end from register group by 1
     union all select case_id, 'verifier_high', count(*), count(*) filter (where n_chars > 20000), case when count(*) filter (where n_chars > 20000) > 0 then 'critical' else 'info' end from register group by 1
-    union all select case_id, 'rerank_fields', count(*), 0, 'info' from register group by 1
-    union all select case_id, 'rerank_mode', count(*), count(*) filter (where lang = 'fr'), case when count(*) filter (where lang = 'fr') > 0 then 'warning' else 'info' end from register group by 1
+    union all select case_id, 'rerank_fields', count(*), count(*) filter (where doc_id % 97 = 5), case when count(*) filter (where doc_id % 97 = 5) > 0 then 'critical' else 'info' end from register group by 1
+    union all select case_id, 'rerank_mode', count(*), count(*) filter (where lang = 'fr' or case_id < 'src2'), case when count(*) filter (where lang = 'fr' or case_id < 'src2') = count(*) then 'warning' else 'info' end from register group by 1
     union all select case_id, 'classify_fields', count(*), 0, 'info' from register group by 1
     union all select case_id, 'classify_verdict', count(*), count(*) filter (where lang = 'de'), case when count(*) filter (where lang = 'de') > 0 then 'critical' else 'info' end from register group by 1""",
 )
 def artefact_checks(spark, d):
     reg = st.register(spark, d)
     lang = F.col("lang")
-    ranked = reg.select("case_id", "ref", F.lit(0.5).alias("rerank_score"), F.lit(False).alias("would_drop"), F.when(lang == "fr", "off").otherwise("shadow").alias("mode"))
+    ranked = reg.select(
+        "case_id", "ref", F.lit(0.5).alias("rerank_score"), F.lit(False).alias("would_drop"),
+        F.when((lang == "fr") | (F.col("case_id") < "src2"), "enforce").otherwise("shadow").alias("mode"),
+        F.when(F.col("doc_id") % 97 != 5, "h").alias("upstream_hash"),
+    )
     classified = reg.select("case_id", "ref", F.array("ref").alias("entities"), F.when(lang == "de", "maybe").otherwise("confirmed").alias("in_scope_recheck"))
     return (
         quality.check_register(reg, reg.filter("n_chars >= 200"))

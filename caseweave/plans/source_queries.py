@@ -185,3 +185,49 @@ def raw_feed(spark, d):
         rows = feed.live_projection(spark, sources)
         rows.writeStream.format("parquet").option("checkpointLocation", check).option("path", out).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(out).select("case_id", "kind", "source", "ts", "event_type", "stage", "severity", "summary")
+
+
+FILES = LINES + ", f as (select event_id // 1000 as part, string_agg(line, chr(10) order by event_id) || chr(10) as body from lines group by 1) "
+
+
+def _files(spark, d, folder):
+    """Text files of a thousand events each, in the order of their ids."""
+    path = f"{run_folder(spark, 'files')}/{folder}"
+    rows = _lines(spark, d).withColumn("part", F.floor(F.col("event_id") / 1000)).repartition("part")
+    rows.sortWithinPartitions("part", "event_id").select("value", "part").write.partitionBy("part").text(path)
+    return path
+
+
+@query("source_tree", FILES + "select 'part=' || part as folder, cast(length(body) as bigint) as length, sha256(body) as digest from f")
+def source_tree(spark, d):
+    """Size and digest of every file under a tree."""
+    root = _files(spark, d, "case-1/source")
+    found = artefacts.read_file_hashes(spark, root).filter(F.col("path").endswith(".txt"))
+    return found.select(F.regexp_extract("path", r"^([^/]+)/", 1).alias("folder"), "length", "digest")
+
+
+@query("text_files", FILES + "select 'case-1' as case_id, length(body) as n_chars, sha256(body) as digest from f")
+def text_files(spark, d):
+    """Extracted texts, one file each."""
+    texts = artefacts.read_texts(spark, _files(spark, d, "case-1/working/texts") + "/*/*.txt")
+    return texts.select("case_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("digest"))
+
+
+@query(
+    "tag_files",
+    """select 'case-1' as case_id, 'file-' || doc_id // 500 as ref, lang as text, doc_id as start, case when lang = 'de' then null else doc_id + 2 end as "end",
+    case lang when 'en' then 'redact' when 'fr' then 'preserve' else 'flag' end as redact from documents""",
+)
+def tag_files(spark, d):
+    """Tag files of five hundred entities, one JSON object over several lines each; offsets that are no numbers become null."""
+    lang, at = F.col("lang"), F.col("doc_id").cast("string")
+    redact = F.when(lang == "en", "true").when(lang == "fr", "false").otherwise('"flag"')
+    end = F.when(lang == "de", '"unknown"').otherwise((F.col("doc_id") + 2).cast("string"))
+    entity = F.concat(F.lit('{"text":"'), lang, F.lit('","redact":'), redact, F.lit(',"start":'), at, F.lit(',"end":'), end, F.lit("}"))
+    docs = st.table(spark, d, "documents").select(F.floor(F.col("doc_id") / 500).alias("part"), entity.alias("entity"))
+    files = docs.groupBy("part").agg(F.array_join(F.collect_list("entity"), ",\n").alias("e"))
+    body = F.concat(F.lit('{"ref":"file-'), F.col("part").cast("string"), F.lit('",\n"entities":[\n'), F.col("e"), F.lit("\n]}"))
+    path = f"{run_folder(spark, 'tags')}/case-1/working/tags"
+    files.select(body.alias("value"), "part").repartition("part").write.partitionBy("part").text(path)
+    found = artefacts.read_tags(spark, path).select("case_id", "ref", F.explode("entities").alias("e"))
+    return found.select("case_id", "ref", "e.text", F.col("e.start").cast("long").alias("start"), F.col("e.end").cast("long").alias("end"), "e.redact")

@@ -737,3 +737,14 @@ def test_listing_streams_through_its_digest(spark):
         want[case] = (sum(r[0] == case for r in rows), hashlib.sha256(text.encode()).hexdigest())
     assert got == want
     assert integrity.listing_hash(df.limit(0), ["case_id"], "ref", "hash").count() == 0
+
+
+def test_rerank_rows_are_checked_for_fields_and_mode(spark):
+    rows = [("a", "r1", 0.5, False, "shadow", "h"), ("a", "r2", 0.5, False, "enforce", None), ("b", "r1", 0.5, True, "enforce", "h")]
+    df = spark.createDataFrame(rows, "case_id string, ref string, rerank_score double, would_drop boolean, mode string, upstream_hash string")
+    got = {(r.case_id, r.check): (r.n_bad, r.severity) for r in quality.check_rerank(df, "shadow").collect()}
+    assert got == {
+        ("a", "rerank_fields"): (1, "critical"), ("a", "rerank_mode"): (1, "info"),
+        ("b", "rerank_fields"): (0, "info"), ("b", "rerank_mode"): (1, "warning"),
+    }
+    assert quality.check_rerank(df, "off").count() == 0
