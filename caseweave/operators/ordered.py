@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def hash_rank_key(seed: int | str, *columns: Column) -> Column:
     """A fixed pseudo-random sort key, the same however the data is partitioned."""
@@ -73,17 +75,50 @@ def linked(
     return out.withColumns({f"{prefix}{c}": prev[c] for c in carry}).drop("_b", "_here", "_link")
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, bucket: Column, name: str = "median") -> DataFrame:
-    """Exact median per group from counted values.
+CUTS = 64  # quantiles that cut a bucket with too many values
 
-    `bucket` is a coarse, order-keeping function of the value (its floor, say). Values are
-    counted before the shuffle, the bucket holding the middle is found from bucket totals,
-    and only the distinct values of that bucket are walked.
+
+def _narrowed(counted: DataFrame, wide: DataFrame, group: list[str], value: str) -> DataFrame:
+    """The part of each wide bucket that holds the middle, found by counting between quantiles of its values."""
+    held = wide.select(*group, "_low", "_high", "_before", "_lo", "_hi")
+    inside = counted.join(held, group, "inner").filter(F.col(value).between(F.col("_low"), F.col("_high")))
+    shares = [i / CUTS for i in range(1, CUTS)]
+    cuts = inside.groupBy(*group).agg(F.percentile_approx(value, shares, 10_000).alias("_cuts"))
+    part = F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+    same = [F.first(c).alias(c) for c in ("_lo", "_hi")]
+    parts = inside.join(cuts, group, "inner").groupBy(*group, part.alias("_part")).agg(
+        F.sum("_n").alias("_bn"),
+        F.count(F.lit(1)).alias("_values"),
+        F.min(value).alias("_low"),
+        F.max(value).alias("_high"),
+        F.first("_before").alias("_from"),
+        *same,
+    )
+    walk = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.col("_from") + F.coalesce(F.sum("_bn").over(walk), F.lit(0)))
+    parts = parts.filter((F.col("_before") < F.col("_hi")) & (F.col("_before") + F.col("_bn") >= F.col("_lo")))
+    return parts.groupBy(*group).agg(
+        F.min("_before").alias("_before"), F.sum("_values").alias("_values"), F.min("_low").alias("_low"),
+        F.max("_high").alias("_high"), *same,
+    )
+
+
+def middle_values(df: DataFrame, keys: list[str], value: str, bucket: Column, most: int = 100_000) -> DataFrame:
+    """Counted values around the middle of each group, at most `most` of a bucket, with the rows before them.
+
+    `_n` rows have the value, `_before` rows lie below the bucket's first value here; `_lo` and `_hi` are the ranks
+    of the middle. A bucket with more distinct values is cut at its quantiles until the part that holds the middle is
+    small enough, so values crowded into one bucket still spread over tasks. Each turn is a pass over the counted
+    values of the wide buckets and leaves about 1 / CUTS of them.
     """
+    group = [*keys, "_b"]
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, bucket.alias("_b"), value).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    totals = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
+    counted = cut_lineage(counted)
+    totals = counted.groupBy(*group).agg(
+        F.sum("_n").alias("_bn"), F.count(F.lit(1)).alias("_values"), F.min(value).alias("_low"), F.max(value).alias("_high")
+    )
     walk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumns(
         {
@@ -94,10 +129,27 @@ def exact_median(df: DataFrame, keys: list[str], value: str, bucket: Column, nam
     middle = totals.filter(
         (F.col("_before") < F.col("_hi")) & (F.col("_before") + F.col("_bn") >= F.col("_lo"))
     )
+    middle = cut_lineage(middle.select(*group, "_before", "_values", "_low", "_high", "_lo", "_hi"))
+    most = max(most, 2 * CUTS)  # below that two neighbouring parts may not shrink
+    while middle.filter(F.col("_values") > most).limit(1).count():
+        wide = middle.filter(F.col("_values") > most)
+        middle = cut_lineage(middle.filter(F.col("_values") <= most).unionByName(_narrowed(counted, wide, group, value)))
+    near = counted.join(middle, group, "inner")
+    return near.filter(F.col(value).between(F.col("_low"), F.col("_high")))
+
+
+def exact_median(
+    df: DataFrame, keys: list[str], value: str, bucket: Column, name: str = "median", most: int = 100_000
+) -> DataFrame:
+    """Exact median per group from counted values.
+
+    `bucket` is a coarse, order-keeping function of the value (its floor, say). Values are
+    counted before the shuffle, the bucket holding the middle is found from bucket totals,
+    and only the distinct values around the middle are walked, at most `most` in a task. Null values do not count.
+    """
+    near = middle_values(df, keys, value, bucket, most)
     upto = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    near = counted.join(middle, [*keys, "_b"], "inner").withColumn(
-        "_end", F.col("_before") + F.sum("_n").over(upto)
-    )
+    near = near.withColumn("_end", F.col("_before") + F.sum("_n").over(upto))
     start = F.col("_end") - F.col("_n")
     return (
         near.filter((start < F.col("_hi")) & (F.col("_end") >= F.col("_lo")))

@@ -72,6 +72,23 @@ def test_exact_median(spark, values):
     assert got == pytest.approx(statistics.median(values))
 
 
+@pytest.mark.parametrize("extra", [0, 1, 40_000], ids=["even", "odd", "tie"])
+def test_exact_median_of_values_crowded_into_one_bucket(spark, extra):
+    rng = random.Random(extra)
+    crowded = [rng.random() ** 9 for _ in range(20_000)] + [0.001] * extra
+    data = [("hot", v) for v in crowded] + [("far", 5.0), ("far", -3.0), ("gone", None)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(6)
+    got = {r.g: r["median"] for r in ordered.exact_median(df, ["g"], "v", F.floor("v"), most=200).collect()}
+    assert got == {"hot": pytest.approx(statistics.median(crowded), rel=1e-12), "far": 1.0}
+    walked = ordered.middle_values(df, ["g"], "v", F.floor("v"), most=200).groupBy("g", "_b").count()
+    assert walked.agg(F.max("count")).first()[0] <= 200
+
+
+def test_exact_median_of_nothing(spark):
+    df = spark.createDataFrame([("g", None)], "g string, v double")
+    assert ordered.exact_median(df, ["g"], "v", F.floor("v")).count() == 0
+
+
 # ---- duplicates ------------------------------------------------------------
 
 
