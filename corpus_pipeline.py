@@ -17,17 +17,26 @@ from caseweave.session import cut_lineage
 CERTAIN = 0.5  # posterior that a language needs
 TOXIC = 0.3  # score from which a document goes
 SLICE_BYTES = 1 << 20  # text that a packing task tokenises at once, beside what earlier stages leave in an executor
+BATCH_BYTES = "4m"  # a batch of rows on its way to Python, where the session names no bound (Spark's own is 64 MB)
 NEAR = 80  # percent of shared five-word shingles from which two documents are near copies
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _in_small_batches(spark: SparkSession) -> None:
+    """Bounds the batches that go to Python by bytes, as texts differ in length; a session's own bound stays."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) is None:
+        spark.conf.set(bound, BATCH_BYTES)
+
+
 def _with_plain_names(stage: Stage) -> Stage:
     """The stage on documents whose further columns have plain names; Spark's Arrow functions take no dots in them."""
 
     @functools.wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _in_small_batches(spark)
         plain = [c if c.isidentifier() else f"__column_{i}" for i, c in enumerate(docs.columns)]
         return stage(spark, docs.toDF(*plain), sf_dir).toDF(*docs.columns)
 
@@ -101,6 +110,7 @@ def _packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 tokens."""
     import public_tokenizers
 
+    _in_small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), slice_bytes=SLICE_BYTES)
 
 
