@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -166,29 +167,51 @@ def _grams(name: Column) -> Column:
     )
 
 
+#: Rows of a block. A larger bucket is cut into blocks, and each pair of blocks is compared in one place.
+BLOCK = 3000
+#: Comparisons that a task makes on average.
+TASK_PAIRS = 50_000_000
+
+
+def _marks(grams: Column, half: int) -> Column:
+    """Half 0 or 1 of a map of 128 bits, as a number: each trigram of the set marks one bit."""
+
+    def mark(bits: Column, g: Column) -> Column:
+        h = F.xxhash64(g)
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(h, F.lit(64)).cast("int"))
+        return bits.bitwiseOR(F.when(F.pmod(h, F.lit(128)) >= 64, one if half else F.lit(0)).otherwise(F.lit(0) if half else one))
+
+    return F.aggregate(grams, F.lit(0).cast("bigint"), mark)
+
+
 def _gram_sets(names: DataFrame, threshold: float) -> DataFrame:
-    """case_id, name, wanted, n, grams (rarest first) and keep, how many of them decide, of each distinct name."""
+    """case_id, name, wanted, n, grams (rarest first), keep, how many of them decide, and a bit map of them (low, high)
+    of each distinct name."""
     wanted = F.bool_or("wanted") if "wanted" in names.columns else F.lit(True)
-    distinct = names.filter("name <> ''").groupBy("case_id", "name").agg(wanted.alias("wanted"))
+    parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # names are few bytes and much work: adaptive execution would put them into one task
+    deal = lambda rows: rows.repartition(parts, "case_id", "name")
+    distinct = deal(names.filter("name <> ''")).groupBy("case_id", "name").agg(wanted.alias("wanted"))
     sets = distinct.withColumn("grams", spans.once(_grams(F.col("name"))))
     freq = sets.select("case_id", F.explode("grams").alias("g")).groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("df"))
     ordered = (
-        sets.select("case_id", "name", "wanted", F.explode("grams").alias("g"))
-        .join(freq, ["case_id", "g"], "inner")
+        deal(sets.select("case_id", "name", "wanted", F.explode("grams").alias("g")).join(freq, ["case_id", "g"], "inner"))
         .groupBy("case_id", "name", "wanted")
         .agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("o"))
         .withColumn("grams", spans.once(F.transform("o", lambda x: x["g"])))
         .withColumn("n", F.size("grams"))
     )
     keep = (F.col("n") - F.ceil(F.lit(threshold * threshold) * F.col("n")) + 1).cast("int")
-    return ordered.select("case_id", "name", "wanted", "n", "grams", keep.alias("keep"))
+    return ordered.select(
+        "case_id", "name", "wanted", "n", "grams", keep.alias("keep"),
+        _marks(F.col("grams"), 0).alias("low"), _marks(F.col("grams"), 1).alias("high"),
+    )
 
 
-def _rare(sets: DataFrame) -> DataFrame:
+def _rare(sets: DataFrame, *carry: str) -> DataFrame:
     """A row for each of the rare trigrams of a name: two similar names share one."""
-    return sets.select(
-        "case_id", "name", "wanted", "n", "grams", F.posexplode(F.slice("grams", F.lit(1), F.col("keep"))).alias("pos", "g")
-    )
+    rare = F.posexplode(F.slice("grams", F.lit(1), F.col("keep"))).alias("pos", "g")
+    return sets.select("case_id", "name", "n", "low", "high", *carry, rare)
 
 
 def _may_be_similar(n: Column, pos: Column, m: Column, at: Column, threshold: float) -> Column:
@@ -199,34 +222,69 @@ def _may_be_similar(n: Column, pos: Column, m: Column, at: Column, threshold: fl
     return (n * square <= m) & (m * square <= n) & (left >= threshold * F.sqrt(n * m) - 1e-9)
 
 
+def _enough_in_common(threshold: float) -> Column:
+    """Whether sets a and b may reach the threshold by their bit maps: a bit that only one has marked is a trigram, at
+    least, that the other lacks."""
+
+    def rest(x: str, y: str) -> Column:
+        lacks = [F.bit_count(F.col(f"{x}.{c}").bitwiseAND(F.bitwise_not(F.col(f"{y}.{c}")))) for c in ("low", "high")]
+        return F.col(f"{x}.n") - lacks[0] - lacks[1]
+
+    return F.least(rest("a", "b"), rest("b", "a")) >= threshold * F.sqrt(F.col("a.n") * F.col("b.n")) - 1e-9
+
+
+def _meet(a: DataFrame, b: DataFrame, sizes: DataFrame, fits: Column, mirror: bool = False) -> DataFrame:
+    """The rows of a with the rows of b that stand in the same bucket (case_id, g) and fit, as a.* and b.*.
+
+    sizes: case_id, g, ka and kb, the rows of either side. With `mirror` both sides are the same rows, and each
+    pair of names comes once. Comparisons grow with the square of a bucket, so buckets are cut into blocks and the number of
+    tasks follows the comparisons, not the bytes: a task stays as short as it is, and what a bucket shuffles grows by its
+    rows / BLOCK.
+    """
+    spark, key = sizes.sparkSession, ["case_id", "g", "i", "j"]
+    work = sizes.agg(F.sum(F.col("ka").cast("double") * F.col("kb"))).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(work / (2 if mirror else 1) / TASK_PAIRS))
+    blocks = sizes.select("case_id", "g", *(F.ceil(F.col(f"k{x}") / BLOCK).cast("int").alias(f"n{x}") for x in "ab"))
+    place = lambda n: F.pmod(F.xxhash64("name"), F.col(n)).cast("int")
+    i, j, zero = F.col("i"), F.col("j"), F.lit(0)
+    a = a.join(blocks, ["case_id", "g"]).withColumn("i", place("na"))
+    a = a.withColumn("j", F.explode(F.sequence(i if mirror else zero, F.col("nb") - 1))).drop("na", "nb")
+    b = b.join(blocks, ["case_id", "g"]).withColumn("j", place("nb"))
+    b = b.withColumn("i", F.explode(F.sequence(zero, j if mirror else F.col("na") - 1))).drop("na", "nb")
+    # dealt by hand: adaptive execution would put the few bytes of many comparisons into one task
+    a, b = (x.repartition(tasks, *key).alias(n) for x, n in ((a, "a"), (b, "b")))
+    once = (F.col("a.i") < F.col("a.j")) | (F.col("a.name") < F.col("b.name")) if mirror else F.lit(True)
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in key]
+    return a.join(b.hint("merge"), same[0] & same[1] & same[2] & same[3] & fits & once)
+
+
 def similar_names(names: DataFrame, threshold: float = 0.85) -> DataFrame:
     """Pairs of distinct names of a case whose trigram cosine reaches the threshold.
 
     Exact, without comparing everything with everything: trigrams are ordered from rare to
     common, and two sets that similar must share one of their first |x| - ceil(t^2 |x|) + 1
-    rarest trigrams. Only those rare trigrams are joined on, sizes too far apart are dropped,
-    and every candidate is checked. Where `names` has a boolean column `wanted`, only pairs with a
-    wanted side are looked for.
+    rarest trigrams. Only those rare trigrams are joined on, in blocks of bounded size; sizes too far
+    apart and sets whose bit maps differ too much are dropped, every candidate is checked, and a pair comes from the first
+    trigram it shares. Where `names` has a boolean column `wanted`, only pairs with a wanted side are looked for.
     """
-    rare = _rare(_gram_sets(names, threshold))
-    # no partitioning by hand: adaptive execution may only split a trigram that stands out in exchanges of its own
-    a, b = rare.alias("a"), rare.alias("b")
-    cosine = F.size(F.array_intersect("a.grams", "b.grams")) / F.sqrt(F.col("a.n") * F.col("b.n"))
-    candidates = a.join(
-        b,
-        (F.col("a.case_id") == F.col("b.case_id"))
-        & (F.col("a.g") == F.col("b.g"))
-        & (F.col("a.name") < F.col("b.name"))
+    rare = _rare(cut_lineage(_gram_sets(names, threshold)), "wanted", "grams")
+    sizes = rare.groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("ka"), F.bool_or("wanted").alias("any"))
+    sizes = cut_lineage(sizes.filter("ka > 1 and any").select("case_id", "g", "ka", F.col("ka").alias("kb")))
+    fits = (
+        _enough_in_common(threshold)
+        & _may_be_similar(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), threshold)
         & (F.col("a.wanted") | F.col("b.wanted"))
-        & _may_be_similar(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), threshold),
     )
+    before = F.array_intersect(F.slice("a.grams", F.lit(1), F.col("a.pos")), F.slice("b.grams", F.lit(1), F.col("b.pos")))
+    cosine = F.size(F.array_intersect("a.grams", "b.grams")) / F.sqrt(F.col("a.n") * F.col("b.n"))
     # the costly test comes after the cheap ones, not inside the join with them
     return (
-        candidates.select(
-            "a.case_id", F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"), spans.once(cosine).alias("similarity")
+        _meet(rare, rare, sizes, fits, mirror=True)
+        .select(
+            "a.case_id", F.least("a.name", "b.name").alias("name_a"), F.greatest("a.name", "b.name").alias("name_b"),
+            spans.once(F.when(F.size(before) == 0, cosine)).alias("similarity"),
         )
         .filter(F.col("similarity") >= threshold - 1e-12)
-        .distinct()
     )
 
 
@@ -263,8 +321,8 @@ def name_forest(names: DataFrame, known: DataFrame, threshold: float = 0.85) ->
     long as that halves the pairs that are left apart, other centres follow, in all buckets. Then every name outside the largest component of its bucket is
     compared with the names there that are not in its own component, so that no two names stay both uncompared and apart.
     """
-    sets = cut_lineage(_gram_sets(names, threshold).select("case_id", "name", "n", "grams", "keep"))
-    rare = sets.select("case_id", "name", "n", F.posexplode(F.slice("grams", F.lit(1), F.col("keep"))).alias("pos", "g"))
+    sets = cut_lineage(_gram_sets(names, threshold).drop("wanted"))
+    rare = _rare(sets).drop("low", "high")
     shared = rare.groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("case_id", "g")
     members = cut_lineage(rare.join(shared, ["case_id", "g"]))
     sizes = members.groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("k"))

@@ -357,6 +357,21 @@ def test_similar_names_misses_nothing(spark, threshold):
     assert got == {(a, b) for a in names for b in names if a < b and alike(a, b) >= threshold - 1e-12}
 
 
+def test_a_bucket_of_names_is_compared_in_many_tasks(spark, monkeypatch):
+    """Names that share all their common trigrams: blocks of a bucket are dealt over tasks, whose number follows the comparisons; no
+    pair is lost or comes twice."""
+    rng = random.Random(9)
+    monkeypatch.setattr(people, "BLOCK", 20, raising=False)
+    monkeypatch.setattr(people, "TASK_PAIRS", 500, raising=False)
+    names = sorted({"hohenbergstein" + "".join(rng.choice("abc") for _ in range(rng.randint(2, 6))) for _ in range(200)})
+    df = spark.createDataFrame([("c", n) for n in names] + [("d", n) for n in names[:9]], "case_id string, name string")
+    rows = people.similar_names(df, 0.8).withColumn("task", F.spark_partition_id()).collect()
+    want = [(a, b) for a in names for b in names if a < b and alike(a, b) >= 0.8 - 1e-12]
+    assert sorted((r.name_a, r.name_b) for r in rows if r.case_id == "c") == want
+    assert sorted((r.name_a, r.name_b) for r in rows if r.case_id == "d") == [(a, b) for a, b in want if {a, b} <= set(names[:9])]
+    assert len({r.task for r in rows}) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_alias_clusters_equal_brute_force(spark, sf):
     from caseweave.plans import people_queries as pq
 
