@@ -322,7 +322,7 @@ def name_forest(names: DataFrame, known: DataFrame, threshold: float = 0.85) ->
     compared with the names there that are not in its own component, so that no two names stay both uncompared and apart.
     """
     sets = cut_lineage(_gram_sets(names, threshold).drop("wanted"))
-    rare = _rare(sets).drop("low", "high")
+    rare = _rare(sets)
     shared = rare.groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("case_id", "g")
     members = cut_lineage(rare.join(shared, ["case_id", "g"]))
     sizes = members.groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("k"))
@@ -330,47 +330,53 @@ def name_forest(names: DataFrame, known: DataFrame, threshold: float = 0.85) ->
     named = members.withColumns({"node": F.concat(F.lit("name:"), "name"), "label": F.concat(F.lit("name:"), "name")})
     links, labels = known, None
 
-    def met(named: DataFrame, centres: DataFrame, fits: Column) -> DataFrame:
-        """Links of the members of buckets that are similar to a centre of another label."""
-        centres = centres.select("case_id", "g", *(F.col(c).alias(f"c_{c}") for c in ("name", "n", "pos", "label")))
-        pairs = named.join(centres, ["case_id", "g"]).filter((F.col("label") != F.col("c_label")) & (F.col("name") != F.col("c_name")) & fits)
-        pairs = pairs.select("case_id", F.least("name", "c_name").alias("a"), F.greatest("name", "c_name").alias("b")).distinct()
+    apart = F.col("a.label") != F.col("b.label")
+    enough = _enough_in_common(threshold)
+
+    def linked(met: DataFrame) -> DataFrame:
+        """Links of the pairs a and b that met and are similar."""
+        pairs = met.select("a.case_id", F.least("a.name", "b.name").alias("a"), F.greatest("a.name", "b.name").alias("b")).distinct()
         key = F.concat(F.lit("pair:"), "a", F.lit("\x1f"), "b")
         both = F.explode(F.array(F.concat(F.lit("name:"), "a"), F.concat(F.lit("name:"), "b")))
         return cut_lineage(_similar(pairs, sets, threshold).select("case_id", both.alias("node"), key.alias("key")))
 
     # what the place of a trigram says holds for the first that two names share, so it decides only where all meet
-    fits = _may_be_similar(F.col("n"), F.col("pos"), F.col("c_n"), F.col("c_pos"), threshold)
-    alike = _may_be_similar(F.col("n"), F.lit(0), F.col("c_n"), F.lit(0), threshold)
+    fits = enough & _may_be_similar(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), threshold)
 
-    def centres(named: DataFrame, turn: int) -> DataFrame:
+    def by_centre(some: DataFrame, named: DataFrame, turn: int) -> DataFrame:
+        """Links of some members to the centre of their bucket, where that has another label."""
         one = named.groupBy("case_id", "g").agg(F.min_by("name", F.xxhash64("name", F.lit(turn))).alias("name"))
-        return named.join(one, ["case_id", "g", "name"], "left_semi")
+        a, b = some.alias("a"), named.join(one, ["case_id", "g", "name"], "left_semi").alias("b")
+        same = (F.col("a.case_id") == F.col("b.case_id")) & (F.col("a.g") == F.col("b.g"))
+        return linked(a.join(b, same & enough & apart & (F.col("a.name") != F.col("b.name"))))
 
     for turn in itertools.count() if total else ():
         if not turn:
             of_name = members.join(sizes, ["case_id", "g"]).groupBy("case_id", "name").agg(F.max_by("g", F.struct("k", "g")).alias("g"))
-            found = met(named.join(of_name, ["case_id", "name", "g"], "left_semi"), centres(named, turn), alike)
+            found = by_centre(named.join(of_name, ["case_id", "name", "g"], "left_semi"), named, turn)
             if found.count() * 20 < sets.count():  # no families: all meet at once
-                links = links.unionByName(met(named, named, fits & (F.col("name") < F.col("c_name"))))
+                both = sizes.select("case_id", "g", F.col("k").alias("ka"), F.col("k").alias("kb"))
+                links = links.unionByName(linked(_meet(members, members, both, fits, mirror=True)))
                 break
         else:
             named = members.withColumn("node", F.concat(F.lit("name:"), "name")).join(labels, ["case_id", "node"], "left")
             named = named.withColumn("label", F.coalesce("label", "node"))
             parts = named.groupBy("case_id", "g", "label").agg(F.count(F.lit(1)).alias("k"))
-            apart = parts.groupBy("case_id", "g").agg(
+            largest = parts.groupBy("case_id", "g").agg(
                 F.max_by("label", F.struct("k", "label")).alias("largest"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("parts")
             )
-            named = cut_lineage(named.join(apart.filter("parts > 1"), ["case_id", "g"]))
-            left = named.filter("label <> largest").agg(F.sum("k")).first()[0] or 0
+            named = cut_lineage(named.join(largest.filter("parts > 1"), ["case_id", "g"]))
+            outside = named.filter("label <> largest")
+            left = outside.agg(F.sum("k")).first()[0] or 0
             if not left:
                 break
             if left <= 4 * total or 2 * left > before:
-                links = links.unionByName(met(named, named.filter("label <> largest"), fits))
+                both = outside.groupBy("case_id", "g").agg(F.first("k").alias("ka"), F.count(F.lit(1)).alias("kb"))
+                links = links.unionByName(linked(_meet(*(x.select(*members.columns, "label") for x in (named, outside)), both, fits & apart)))
                 labels = None
                 break
             before = left
-            found = met(named, centres(named, turn), alike)
+            found = by_centre(named, named, turn)
         links = cut_lineage(links.unionByName(found))
         labels = components(links)
     links = cut_lineage(links)

@@ -405,6 +405,26 @@ def test_a_family_of_names_needs_few_links(spark):
     assert labels.count() == len(names) and labels.select("label").distinct().count() == 1
 
 
+def test_strangers_that_share_trigrams_are_not_paired(spark, monkeypatch):
+    """Names of a few syllables share trigrams, yet hardly any are similar: few pairs leave the join, where they are dealt out."""
+    rng = random.Random(6)
+    syllables = ["tion", "ing", "er", "the", "and", "on", "ble", "her", "st", "wh", "ati"]
+    names = sorted({"".join(rng.choice(syllables) for _ in range(4)) for _ in range(900)})
+    df = spark.createDataFrame([("c", n) for n in names], "case_id string, name string")
+    seen, similar = [], people._similar
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(people, "_similar", counted)
+    _, labels = people.name_forest(df, spark.createDataFrame([], "case_id string, node string, key string"), 0.85)
+    want = [(a, b) for a in names for b in names if a < b and alike(a, b) >= 0.85 - 1e-12]
+    assert sum(seen) <= 3 * len(want)
+    label = {r.node: r.label for r in labels.collect()}
+    assert all(label[f"name:{a}"] == label[f"name:{b}"] for a, b in want)
+
+
 @pytest.mark.parametrize("threshold", [0.6, 0.75, 0.9])
 def test_name_forest_joins_what_all_pairs_join(spark, threshold):
     """Families, chains between them and strangers that share rare trigrams, in two cases, against all pairs."""
