@@ -250,6 +250,27 @@ def test_scorer_contract(spark):
     assert [(r.ref, r.n_findings) for r in grouped] == [("a", 2)]
 
 
+def test_scorers_get_texts_in_slices_of_bounded_size(spark):
+    """However large Arrow's batch is, a call gets little more text than the bound; long texts stay whole, and nulls reach the scorer."""
+    schema = "case_id string, ref string, scope_text string, text string"
+    texts = ["x" * 40_000] * 90 + ["é" * 3_000_000, None, ""]
+    pairs = spark.createDataFrame([("c", f"d{i:02d}", "s" * 10_000, t) for i, t in enumerate(texts)], schema).coalesce(1)
+
+    def make():
+        size = lambda s, t: sum(len(x or "") for x in [*s, *t])
+        return lambda scopes, texts: [float(size(scopes, texts))] * len(texts)
+
+    got = {r.ref: r.rerank_score for r in scorers.rerank_scores(pairs, make).collect()}
+    assert len(got) == len(texts) and got["d90"] == 3_010_000
+    assert max(v for k, v in got.items() if k != "d90") <= 1 << 20
+    lengths = scorers.chat(pairs.withColumnRenamed("text", "prompt"), lambda: lambda ps: [p and str(len(p)) for p in ps]).collect()
+    assert {r.ref: (r.reply, r.reachable) for r in lengths if r.ref > "d88"} == {
+        "d89": ("40000", True), "d90": ("3000000", True), "d91": (None, False), "d92": ("", True)
+    }
+    vectors = scorers.embed(pairs.filter("text is not null"), lambda: lambda ts: [[float(len(t)), 1.0] for t in ts]).collect()
+    assert [list(r.embedding) for r in vectors if r.ref > "d89"] == [[3000000.0, 1.0], [0.0, 1.0]]
+
+
 # ---- entities --------------------------------------------------------------
 
 
