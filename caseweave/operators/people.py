@@ -190,7 +190,8 @@ def _gram_sets(names: DataFrame, threshold: float) -> DataFrame:
     wanted = F.bool_or("wanted") if "wanted" in names.columns else F.lit(True)
     parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # names are few bytes and much work: adaptive execution would put them into one task
-    deal = lambda rows: rows.repartition(parts, "case_id", "name")
+    # (in this order of columns, as one that the rows have already would be left out)
+    deal = lambda rows: rows.repartition(parts, "name", "case_id")
     distinct = deal(names.filter("name <> ''").groupBy("case_id", "name").agg(wanted.alias("wanted")))
     sets = distinct.withColumn("grams", spans.once(_grams(F.col("name"))))
     freq = sets.select("case_id", F.explode("grams").alias("g")).groupBy("case_id", "g").agg(F.count(F.lit(1)).alias("df"))
