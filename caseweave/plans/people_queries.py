@@ -593,7 +593,8 @@ def waiver_state(spark, d):
     select case_id, least(len(regexp_extract_all(text, '[a-z ]')) / length(text)::double, least(1.0::double, n_chars / 1000.0::double)) as w from docs)) group by 1, 2""",
 )
 def text_quality_bands(spark, d):
-    plain = F.regexp_count("text", F.lit("[a-z ]")) / F.char_length("text")
+    # the letters left are counted, as regexp_count keeps an array of all it finds; an empty text has no share, which least passes over
+    plain = stats.rate(F.char_length(F.regexp_replace("text", "[^a-z ]+", "")), F.char_length("text"))
     size = F.least(F.lit(1.0), F.col("n_chars") / 1000.0)
     rows = st.docs(spark, d).select("case_id", quality.text_quality(plain, size, F.lit(1.0)).alias("text_quality"))
     return rows.groupBy("case_id", "text_quality").agg(F.count(F.lit(1)).alias("n"))

@@ -62,6 +62,12 @@ def test_scans_are_pruned_and_filters_pushed(spark, sf):
     assert "text" not in schema and "lang" not in schema
 
 
+def test_letters_of_a_text_are_counted_without_an_array_of_them(spark, sf):
+    """An array of all matches takes many times the bytes of a long text."""
+    text = plan(QUERIES["text_quality_bands"](spark, sf))
+    assert "regexp_replace" in text and "regexp_extract_all" not in text
+
+
 def test_stand_in_model_answers_from_the_whole_text():
     """The limit of a rationale is the coercion's, not the model's."""
     import json
